@@ -92,24 +92,47 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str
     return keys.join(known, F.col(column) == F.col("_parent_key"), "left_anti")
 
 
-def relationship_check(child: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
-    lost = orphans(child, check.column, parent, check.parent_column)
-    counted = lost.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("_f"))
-    return counted.select(F.inline(F.array(_report_line(check, F.col("_f")))))
+def relationship_checks(child: DataFrame, checks: list[Check], parents: Mapping[str, DataFrame]) -> DataFrame:
+    """All foreign keys of one table in a single pass over it.
+
+    Each row yields its known keys tagged with their check; counting them before
+    the join leaves one row per distinct key. Keys are compared as text.
+    """
+    tagged = [F.struct(F.lit(i).alias("fk"), F.col(c.column).cast("string").alias("key")) for i, c in enumerate(checks)]
+    keys = (
+        child.select(F.inline(F.array(*tagged)))
+        .where(F.col("key").isNotNull())
+        .groupBy("fk", "key")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    known = [
+        parents[c.parent].select(F.lit(i).alias("fk"), F.col(c.parent_column).cast("string").alias("key"))
+        for i, c in enumerate(checks)
+    ]
+    lost = keys.join(reduce(DataFrame.unionByName, known), ["fk", "key"], "left_anti")
+    counted = lost.agg(*[F.sum(F.when(F.col("fk") == i, F.col("_n"))).alias(f"_f{i}") for i in range(len(checks))])
+    lines = [_report_line(c, F.coalesce(F.col(f"_f{i}"), F.lit(0))) for i, c in enumerate(checks)]
+    return counted.select(F.inline(F.array(*lines)))
 
 
 def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
-    """One report row per check: (check, table, column, failures)."""
-    by_table: dict[str, list[Check]] = defaultdict(list)
+    """One report row per check: (check, table, column, failures).
+
+    A table is read once for its row-level checks, once for its foreign keys,
+    and once per unique column.
+    """
+    by_row: dict[str, list[Check]] = defaultdict(list)
+    by_key: dict[str, list[Check]] = defaultdict(list)
     reports = []
     for check in checks:
         if check.kind == "unique":
             reports.append(unique_check(tables[check.table], check))
         elif check.kind == "relationships":
-            reports.append(relationship_check(tables[check.table], tables[check.parent], check))
+            by_key[check.table].append(check)
         else:
-            by_table[check.table].append(check)
-    reports += [row_checks(tables[name], group) for name, group in by_table.items()]
+            by_row[check.table].append(check)
+    reports += [relationship_checks(tables[name], group, tables) for name, group in by_key.items()]
+    reports += [row_checks(tables[name], group) for name, group in by_row.items()]
     return reduce(DataFrame.unionByName, reports)
 
 

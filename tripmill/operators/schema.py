@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def conform(df: DataFrame, mapping: Mapping[str, str | Column]) -> DataFrame:
-    """Select in order: new name to a source column or an expression."""
-    return df.select(*[(F.col(v) if isinstance(v, str) else v).alias(name) for name, v in mapping.items()])
+def conform(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
+    """Select in order: new name to a column or SQL expression of the source."""
+    return df.selectExpr(*[name if name == source else f"{source} as {name}" for name, source in mapping.items()])
 
 
 def align_schema(df: DataFrame, target: StructType, extra: str = "keep") -> DataFrame:

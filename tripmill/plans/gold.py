@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.functions import scalars as S
@@ -54,32 +54,29 @@ TIP_EDGES = [0, 15, 25]
 # --- staging ------------------------------------------------------------------
 
 
+def _same(names: str) -> dict[str, str]:
+    return {name: name for name in names.split()}
+
+
+STAGING_COLUMNS = {
+    **_same("pickup_datetime dropoff_datetime pickup_date pickup_hour pickup_day_of_week pickup_month"),
+    **_same("pickup_year_month is_weekend"),
+    "pickup_location_id": "cast(PULocationID as int)",
+    "dropoff_location_id": "cast(DOLocationID as int)",
+    **_same("pickup_borough pickup_zone pickup_service_zone dropoff_borough dropoff_zone dropoff_service_zone"),
+    **_same("trip_distance trip_duration_min avg_speed_mph is_speed_outlier passenger_count"),
+    **_same("fare_amount extra mta_tax tip_amount tolls_amount improvement_surcharge total_cost tip_pct"),
+    **_same("payment_type payment_type_label"),
+    "vendor_id": "VendorID",
+    "rate_code_id": "RatecodeID",
+    **_same("store_and_fwd_flag source_month source_file"),
+}
+
+
 def staging_trips(silver: DataFrame, casts: dict[str, str] | None = None) -> DataFrame:
     """Conformed names and the surrogate trip key; a plain projection, meant as a view."""
-    same = {
-        name: name
-        for name in (
-            "pickup_datetime dropoff_datetime pickup_date pickup_hour pickup_day_of_week pickup_month "
-            "pickup_year_month is_weekend"
-        ).split()
-    }
-    places = {
-        "pickup_location_id": F.col("PULocationID").cast("int"),
-        "dropoff_location_id": F.col("DOLocationID").cast("int"),
-    }
-    rest = {
-        name: name
-        for name in (
-            "pickup_borough pickup_zone pickup_service_zone dropoff_borough dropoff_zone dropoff_service_zone "
-            "trip_distance trip_duration_min avg_speed_mph is_speed_outlier passenger_count "
-            "fare_amount extra mta_tax tip_amount tolls_amount improvement_surcharge total_cost tip_pct "
-            "payment_type payment_type_label"
-        ).split()
-    }
-    vendor = {"vendor_id": "VendorID", "rate_code_id": "RatecodeID", "store_and_fwd_flag": "store_and_fwd_flag"}
-    lineage = {"source_month": "source_month", "source_file": "source_file"}
-    key = {"trip_id": S.surrogate_key(TRIP_KEYS, casts)}
-    return conform(silver, {**key, **same, **places, **rest, **vendor, **lineage})
+    keyed = silver.withColumn("trip_id", S.surrogate_key(TRIP_KEYS, casts))
+    return conform(keyed, {"trip_id": "trip_id", **STAGING_COLUMNS})
 
 
 # --- dimensions ---------------------------------------------------------------
@@ -137,30 +134,31 @@ def dim_zone(zones: DataFrame) -> DataFrame:
 # --- fact ---------------------------------------------------------------------
 
 
+FACT_COLUMNS = [
+    *"trip_id date_key pickup_location_id dropoff_location_id pickup_month pickup_year_month pickup_date".split(),
+    *"pickup_datetime dropoff_datetime pickup_hour pickup_day_of_week is_weekend".split(),
+    *"pickup_borough pickup_zone pickup_service_zone dropoff_borough dropoff_zone dropoff_service_zone".split(),
+    *"passenger_count trip_distance trip_duration_min avg_speed_mph".split(),
+    *"fare_amount extra mta_tax tip_amount tolls_amount improvement_surcharge total_cost tip_pct".split(),
+    *"payment_type_label rate_code_id vendor_id store_and_fwd_flag".split(),
+    *"is_cross_borough is_airport_trip source_month".split(),
+]
+
+
 def fact_trips(staging: DataFrame, loaded_at: str | None = None) -> DataFrame:
     """Trips that are no speed outlier and have a positive duration and distance.
 
     An unknown outlier flag does not count as false, so such rows leave too.
     """
-    kept = staging.where(
-        (F.col("is_speed_outlier") == F.lit(False)) & (F.col("trip_duration_min") > 0) & (F.col("trip_distance") > 0)
+    kept = staging.where("is_speed_outlier = false and trip_duration_min > 0 and trip_distance > 0")
+    flagged = kept.withColumns(
+        {
+            "date_key": S.date_key("pickup_date"),
+            "is_cross_borough": S.differs("pickup_borough", "dropoff_borough"),
+            "is_airport_trip": S.matches_any(["pickup_zone", "dropoff_zone"], AIRPORT_TRIP_PATTERNS),
+        }
     )
-    ends = [F.col("pickup_zone"), F.col("dropoff_zone")]
-    columns: list[Column | str] = ["trip_id", S.date_key("pickup_date").alias("date_key")]
-    columns += (
-        "pickup_location_id dropoff_location_id pickup_month pickup_year_month pickup_date "
-        "pickup_datetime dropoff_datetime pickup_hour pickup_day_of_week is_weekend "
-        "pickup_borough pickup_zone pickup_service_zone dropoff_borough dropoff_zone dropoff_service_zone "
-        "passenger_count trip_distance trip_duration_min avg_speed_mph "
-        "fare_amount extra mta_tax tip_amount tolls_amount improvement_surcharge total_cost tip_pct "
-        "payment_type_label rate_code_id vendor_id store_and_fwd_flag"
-    ).split()
-    columns += [
-        S.differs("pickup_borough", "dropoff_borough").alias("is_cross_borough"),
-        S.matches_any(ends, AIRPORT_TRIP_PATTERNS).alias("is_airport_trip"),
-        "source_month",
-    ]
-    return stamped(kept.select(*columns), "loaded_at", loaded_at)
+    return stamped(flagged.selectExpr(*FACT_COLUMNS), "loaded_at", loaded_at)
 
 
 def stamped(df: DataFrame, name: str, at: str | None) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
+from functools import lru_cache, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +50,9 @@ def query(run: Query) -> Query:
 
 
 # --- inputs -------------------------------------------------------------------
+# Shared views, built once per session and folder; they are plans, not data.
+
+view = lru_cache(maxsize=64)
 
 
 def _with_file(trips: DataFrame) -> DataFrame:
@@ -57,46 +60,62 @@ def _with_file(trips: DataFrame) -> DataFrame:
     return trips.withColumn("source_file", F.concat(F.lit(head), F.col("source_month"), F.lit(tail)))
 
 
+@view
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All submitted trips, the ones to be rejected included."""
     return _with_file(star.bridge_trips(spark, sf_dir))
 
 
+@view
 def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.tag_trips(_bronze(spark, sf_dir))
 
 
+@view
 def _accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips that pass the rules; the year rule also narrows the scan."""
     return R.accepted(V.tag_trips(_with_file(star.bridge_trips(spark, sf_dir, pickup_year=V.YEAR))))
 
 
+@view
 def _kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.dedup_trips(_accepted(spark, sf_dir))
 
 
+@view
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.enrich_trips(V.derive_trips(_kept(spark, sf_dir)), star.bridge_zones(spark, sf_dir))
 
 
+@view
 def _staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.staging_trips(_silver(spark, sf_dir))
 
 
+@view
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.fact_trips(_staging(spark, sf_dir))
 
 
+@view
 def _dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calendar over the days the orders span, moved like the trips."""
     spine = date_spine_of(star.table(spark, sf_dir, "orders"), star.moved("o_orderdate").cast("date"))
     return G.dim_date(spine, AS_OF)
 
 
+@view
 def _zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.dim_zone(star.bridge_zones(spark, sf_dir))
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a table in the shared folder, for results that are read more than once."""
+    path = fresh_folder(df.sparkSession, name)
+    K.write_table(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # --- rejects, dedup, derive, enrich -------------------------------------------
 
 
@@ -283,41 +302,46 @@ def star_join_holiday(spark, sf_dir):
 # --- quality ------------------------------------------------------------------
 
 
-def _gold_tables(spark, sf_dir):
-    fact = _fact(spark, sf_dir)
-    return {
-        "silver_trips": _silver(spark, sf_dir),
-        "dim_date": _dates(spark, sf_dir),
-        "dim_zone": _zones(spark, sf_dir),
-        "fact_trips": fact,
-        "agg_hourly_zone": G.agg_hourly_zone(fact),
-        "agg_daily_borough": G.agg_daily_borough(fact),
-        "agg_payment_trends": G.agg_payment_trends(fact),
+def _declared(spark, sf_dir, kind):
+    """The declared checks of one kind, over the tables they need."""
+    checks = [c for c in Q.silver_checks() + Q.gold_checks() if c.kind == kind]
+    needed = {c.table for c in checks} | {c.parent for c in checks}
+    silver = _silver(spark, sf_dir)
+    if "silver_trips" in needed:
+        silver = _written(silver, "silver")
+    fact = G.fact_trips(G.staging_trips(silver))
+    if kind in ("not_null", "accepted_values"):  # several tables below read it
+        fact = _written(fact, "fact")
+    build = {
+        "silver_trips": lambda: silver,
+        "dim_date": lambda: _dates(spark, sf_dir),
+        "dim_zone": lambda: _zones(spark, sf_dir),
+        "fact_trips": lambda: fact,
+        "agg_hourly_zone": lambda: G.agg_hourly_zone(fact),
+        "agg_daily_borough": lambda: G.agg_daily_borough(fact),
+        "agg_payment_trends": lambda: G.agg_payment_trends(fact),
     }
-
-
-def _declared(kind):
-    return [c for c in Q.silver_checks() + Q.gold_checks() if c.kind == kind]
+    return C.run_checks({name: build[name]() for name in needed if name}, checks)
 
 
 @query
 def dq_not_null(spark, sf_dir):
-    return C.run_checks(_gold_tables(spark, sf_dir), _declared("not_null"))
+    return _declared(spark, sf_dir, "not_null")
 
 
 @query
 def dq_unique(spark, sf_dir):
-    return C.run_checks(_gold_tables(spark, sf_dir), _declared("unique"))
+    return _declared(spark, sf_dir, "unique")
 
 
 @query
 def dq_accepted_values(spark, sf_dir):
-    return C.run_checks(_gold_tables(spark, sf_dir), _declared("accepted_values"))
+    return _declared(spark, sf_dir, "accepted_values")
 
 
 @query
 def dq_relationships(spark, sf_dir):
-    return C.run_checks(_gold_tables(spark, sf_dir), _declared("relationships"))
+    return _declared(spark, sf_dir, "relationships")
 
 
 @query
@@ -364,7 +388,8 @@ def raw_wrong_order(spark, sf_dir):
 
 @query
 def fk_orphans(spark, sf_dir):
-    fact, zones = _fact(spark, sf_dir), _zones(spark, sf_dir)
+    ends = _fact(spark, sf_dir).select("pickup_location_id", "dropoff_location_id")
+    fact, zones = _written(ends, "trip_ends"), _zones(spark, sf_dir)
     sides = [
         C.orphans(fact, f"{end}_location_id", zones, "location_id").select(
             F.lit(end).alias("trip_end"), F.col(f"{end}_location_id").alias("location_id"), "row_count"
@@ -649,6 +674,6 @@ def stream_dedup_keys(spark, sf_dir):
     """Trip keys that survive streaming deduplication."""
     trips = star.bridge_trips(spark, sf_dir, pickup_year=V.YEAR, lineitem=_lineitem_stream(spark, sf_dir))
     clean = R.accepted(V.tag_trips(trips)).withColumn("at", F.col("pickup_datetime").cast("timestamp"))
-    first = stream.first_arrivals(clean, V.TRIP_KEYS, at="at").select(*V.TRIP_KEYS)
+    first = stream.first_arrivals(clean, V.TRIP_KEYS, at="at", spread=16).select(*V.TRIP_KEYS)
     out = fresh_folder(spark, "stream")
     return stream.run_available(first, f"{out}/table", f"{out}/checkpoint")

@@ -4,13 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # The star tables' dates are moved by whole years, so that 1998 becomes 2024.
 YEARS_MOVED = 26
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. Its schema is taken from the footers once per path, since each look is a Spark job."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def moved(day: Column | str) -> Column:
@@ -20,36 +28,38 @@ def moved(day: Column | str) -> Column:
 
 def bridge_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone lookup over nations; key 24 is left out, which makes unmatched zones."""
-    key, region = F.col("n_nationkey"), F.col("r_name")
-    borough = (
-        F.when(key == 1, "EWR")
-        .when(key == 20, "Staten Island")
-        .when(region == "AFRICA", "Manhattan")
-        .when(region == "AMERICA", "Brooklyn")
-        .when(region == "ASIA", "Queens")
-        .when(region == "EUROPE", "Bronx")
-        .otherwise("Unknown")
-    )
-    zone = (
-        F.when(key == 1, "Newark Airport")
-        .when(key == 2, "JFK Airport")
-        .when(key == 3, "LaGuardia Airport")
-        .when(key == 5, "Grand Central")
-        .otherwise(F.col("n_name"))
-    )
     return (
         table(spark, sf_dir, "nation")
-        .where(key != 24)
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            key.alias("LocationID"),
-            borough.alias("Borough"),
-            zone.alias("Zone"),
-            F.when(key.isin(1, 2, 3), "Airports").otherwise("Boro Zone").alias("service_zone"),
+        .where("n_nationkey <> 24")
+        .join(table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey"))
+        .selectExpr(
+            "n_nationkey as LocationID",
+            """case when n_nationkey = 1 then 'EWR'
+                    when n_nationkey = 20 then 'Staten Island'
+                    when r_name = 'AFRICA' then 'Manhattan'
+                    when r_name = 'AMERICA' then 'Brooklyn'
+                    when r_name = 'ASIA' then 'Queens'
+                    when r_name = 'EUROPE' then 'Bronx'
+                    else 'Unknown' end as Borough""",
+            """case n_nationkey when 1 then 'Newark Airport'
+                                when 2 then 'JFK Airport'
+                                when 3 then 'LaGuardia Airport'
+                                when 5 then 'Grand Central'
+                                else n_name end as Zone""",
+            "if(n_nationkey in (1, 2, 3), 'Airports', 'Boro Zone') as service_zone",
         )
     )
 
 
+def _orders_near(orders: DataFrame, pickup_year: int) -> DataFrame:
+    first = f"{pickup_year - YEARS_MOVED - 1}-12-31"
+    after = f"{pickup_year - YEARS_MOVED + 1}-01-01"
+    return orders.where(
+        f"""o_orderdate >= timestamp_ntz'{first}' and o_orderdate < timestamp_ntz'{after}'
+            or o_orderdate is null"""
+    )
+
+
 def bridge_trips(
     spark: SparkSession,
     sf_dir: str,
@@ -61,9 +71,12 @@ def bridge_trips(
     One trip in twenty is submitted a second time under the next month, with a
     higher tip. Both submissions come out of one pass over the joins.
 
+    Orders meet their customers before they meet the lines, so that the largest
+    table is shuffled on as few keys, and as late, as possible.
+
     ``pickup_year`` states that the caller rejects other pickup years anyway.
     A pickup falls within a day of its order date, so the year implies a range
-    of order dates that reaches the parquet scan and shrinks the join. The
+    of order dates that reaches the parquet scan and shrinks the joins. The
     caller's own year rule still decides about every row; orders without a date
     are kept for it to judge.
 
@@ -72,64 +85,37 @@ def bridge_trips(
     lineitem = table(spark, sf_dir, "lineitem") if lineitem is None else lineitem
     orders = table(spark, sf_dir, "orders")
     if pickup_year is not None:
-        first = f"{pickup_year - YEARS_MOVED - 1}-12-31 00:00:00"
-        after = f"{pickup_year - YEARS_MOVED + 1}-01-01 00:00:00"
-        day = F.col("o_orderdate")
-        near = (day >= F.lit(first).cast("timestamp_ntz")) & (day < F.lit(after).cast("timestamp_ntz"))
-        orders = orders.where(near | day.isNull())
-
-    part = F.col("l_partkey")
-    minute = ((part * 37) % 1440).cast("int")
-    year_late = F.when(part % 211 == 0, 525600).otherwise(0)
-    length = F.col("l_quantity").cast("int") * 2 - 3 + year_late
-    cents = F.floor(F.col("l_extendedprice"))
-    paid = F.substring("o_orderpriority", 1, 1).cast("int")
-
-    def minutes(count: Column) -> Column:
-        return F.make_dt_interval(F.lit(0), F.lit(0), count, F.lit(0))
-
-    trips = (
-        lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .select(
-            moved("o_orderdate").alias("_day"),
-            (F.col("l_linenumber") % 2 + 1).alias("VendorID"),
-            (moved("o_orderdate") + minutes(minute)).alias("tpep_pickup_datetime"),
-            (moved("o_orderdate") + minutes(minute + length)).alias("tpep_dropoff_datetime"),
-            F.nullif(F.col("l_suppkey") % 7, F.lit(6)).cast("bigint").alias("passenger_count"),
-            ((part % 400 - 5).cast("double") / 10).alias("trip_distance"),
-            F.col("l_linenumber").cast("bigint").alias("RatecodeID"),
-            F.when(F.col("l_returnflag") == "R", "Y").otherwise("N").alias("store_and_fwd_flag"),
-            F.when(part % 97 != 0, F.col("c_nationkey")).alias("PULocationID"),
-            F.col("s_nationkey").alias("DOLocationID"),
-            paid.alias("payment_type"),
-            ((cents % 8000 - 100).cast("double") / 100).alias("fare_amount"),
-            (F.col("l_linenumber").cast("double") / 4).alias("extra"),
-            F.lit(0.5).alias("mta_tax"),
-            F.when(paid == 1, (cents % 1600).cast("double") / 100).otherwise(F.lit(0.0)).alias("_tip"),
-            (part % 3).cast("double").alias("tolls_amount"),
-            F.lit(1.0).alias("improvement_surcharge"),
-            F.explode(F.when(part % 20 == 7, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("_copy"),
+        orders = _orders_near(orders, pickup_year)
+    placed = orders.join(table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
+    return (
+        lineitem.join(placed, F.expr("l_orderkey = o_orderkey"))
+        .join(table(spark, sf_dir, "supplier"), F.expr("l_suppkey = s_suppkey"))
+        .selectExpr(
+            "*",
+            f"o_orderdate + make_ym_interval({YEARS_MOVED}, 0) as _day",
+            "cast((l_partkey * 37) % 1440 as int) as _minute",
+            "cast(l_quantity as int) * 2 - 3 + if(l_partkey % 211 = 0, 525600, 0) as _length",
+            "floor(l_extendedprice) as _cents",
+            "cast(substring(o_orderpriority, 1, 1) as int) as _paid",
+            "explode(if(l_partkey % 20 = 7, array(0, 1), array(0))) as _copy",
+        )
+        .selectExpr(
+            "l_linenumber % 2 + 1 as VendorID",
+            "_day + make_dt_interval(0, 0, _minute) as tpep_pickup_datetime",
+            "_day + make_dt_interval(0, 0, _minute + _length) as tpep_dropoff_datetime",
+            "cast(nullif(l_suppkey % 7, 6) as bigint) as passenger_count",
+            "cast(l_partkey % 400 - 5 as double) / 10 as trip_distance",
+            "cast(l_linenumber as bigint) as RatecodeID",
+            "if(l_returnflag = 'R', 'Y', 'N') as store_and_fwd_flag",
+            "if(l_partkey % 97 = 0, null, c_nationkey) as PULocationID",
+            "s_nationkey as DOLocationID",
+            "_paid as payment_type",
+            "cast(_cents % 8000 - 100 as double) / 100 as fare_amount",
+            "cast(l_linenumber as double) / 4 as extra",
+            "0.5D as mta_tax",
+            "if(_paid = 1, cast(_cents % 1600 as double) / 100, 0D) + _copy as tip_amount",
+            "cast(l_partkey % 3 as double) as tolls_amount",
+            "1D as improvement_surcharge",
+            "date_format(_day + make_ym_interval(0, _copy), 'yyyy-MM') as source_month",
         )
-    )
-    month = F.date_format(F.col("_day") + F.make_ym_interval(F.lit(0), F.col("_copy")), "yyyy-MM")
-    return trips.withColumns({"tip_amount": F.col("_tip") + F.col("_copy"), "source_month": month}).select(
-        "VendorID",
-        "tpep_pickup_datetime",
-        "tpep_dropoff_datetime",
-        "passenger_count",
-        "trip_distance",
-        "RatecodeID",
-        "store_and_fwd_flag",
-        "PULocationID",
-        "DOLocationID",
-        "payment_type",
-        "fare_amount",
-        "extra",
-        "mta_tax",
-        "tip_amount",
-        "tolls_amount",
-        "improvement_surcharge",
-        "source_month",
     )

@@ -38,14 +38,27 @@ def hourly_totals(stream: DataFrame, at: str, keys: Sequence[str], metrics: Iter
 
 
 def first_arrivals(
-    stream: DataFrame, keys: Sequence[str] = TRIP_KEYS, at: str = "pickup_datetime", within: str = "366 days"
+    stream: DataFrame,
+    keys: Sequence[str] = TRIP_KEYS,
+    at: str = "pickup_datetime",
+    within: str = "366 days",
+    spread: int = 0,
 ) -> DataFrame:
     """One row per key: the first to arrive, not the earliest submission.
 
     ``within`` bounds the state. The default covers the one year that the date
     rules accept, so no accepted row is ever too late.
+
+    All copies of a key meet in one task. Where a key may have very many,
+    ``spread`` thins them first: copies are deduplicated within that many slices
+    of the input partitions, and only the survivors meet. A slice follows the
+    partition number, which a retried task keeps.
     """
-    return stream.withWatermark(at, within).dropDuplicatesWithinWatermark(list(keys))
+    marked = stream.withWatermark(at, within)
+    if spread:
+        marked = marked.withColumn("_slice", F.spark_partition_id() % spread)
+        marked = marked.dropDuplicatesWithinWatermark([*keys, "_slice"]).drop("_slice")
+    return marked.dropDuplicatesWithinWatermark(list(keys))
 
 
 def run_available(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
