@@ -1,0 +1,98 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+
+from tripmill.functions import scalars as S
+from tripmill.plans import gold as G
+from tripmill.plans import silver as V
+
+
+def derive(bronze_rows):
+    return V.derive_trips(V.parse_times(bronze_rows)).collect()
+
+
+def test_measures_of_one_trip(bronze):
+    trip = derive(bronze({}))[0]
+    assert trip.trip_duration_min == 30.0
+    assert trip.avg_speed_mph == 10.0
+    assert (trip.pickup_hour, trip.pickup_day_of_week, trip.pickup_month) == (10, 3, 3)
+    assert trip.pickup_year_month == "2024-03"
+    assert trip.pickup_date == dt.date(2024, 3, 5)
+    assert trip.is_weekend is False
+    assert trip.total_cost == 25.5
+    assert trip.tip_pct == 15.0
+    assert trip.payment_type_label == "credit_card"
+    assert trip.is_speed_outlier is False
+
+
+def test_seconds_are_cut_before_the_difference(bronze):
+    moment = dt.datetime(2024, 3, 5, 0, 0, 1, 100000), dt.datetime(2024, 3, 5, 0, 0, 1, 900000)
+    trip = derive(bronze({"tpep_pickup_datetime": moment[0], "tpep_dropoff_datetime": moment[1]}))[0]
+    assert trip.trip_duration_min == 0.0
+    assert trip.avg_speed_mph is None
+    assert trip.is_speed_outlier is None
+
+
+def test_speed_uses_the_rounded_duration(bronze):
+    trip = derive(
+        bronze({"tpep_dropoff_datetime": dt.datetime(2024, 3, 5, 10, 0, 20), "trip_distance": 0.7})
+    )[0]
+    assert trip.trip_duration_min == 0.33  # 20 s
+    assert trip.avg_speed_mph == 127.27  # 0.7 / (0.33 / 60), not 126.0
+    assert trip.is_speed_outlier is True
+
+
+def test_null_and_zero_amounts(bronze):
+    free, unknown = derive(bronze({"fare_amount": 0.0, "tip_amount": 2.0}, {"tolls_amount": None}))
+    assert free.tip_pct is None
+    assert unknown.total_cost is None
+
+
+@pytest.mark.parametrize(
+    "code, name", [(1, "credit_card"), (2, "cash"), (3, "no_charge"), (4, "dispute"), (5, "unknown"), (None, "unknown")]
+)
+def test_payment_names(bronze, code, name):
+    assert derive(bronze({"payment_type": code}))[0].payment_type_label == name
+
+
+def test_weekend_days(bronze):
+    days = [dt.datetime(2024, 3, d, 10) for d in (8, 9, 10, 11)]
+    trips = bronze(*[{"tpep_pickup_datetime": d, "tpep_dropoff_datetime": d + dt.timedelta(hours=1)} for d in days])
+    assert [t.is_weekend for t in derive(trips)] == [False, True, True, False]
+
+
+def test_text_that_is_no_timestamp_becomes_null(spark):
+    df = spark.createDataFrame([("2024-01-02 03:04:05", "soon")], "tpep_pickup_datetime string, tpep_dropoff_datetime string")
+    row = V.parse_times(df).collect()[0]
+    assert row.pickup_datetime == dt.datetime(2024, 1, 2, 3, 4, 5)
+    assert row.dropoff_datetime is None
+
+
+def test_surrogate_key_form(spark):
+    import hashlib
+
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 2), None, 12.5)], "t timestamp_ntz, p int, f double")
+    text = "2024-01-02 00:00:00-_dbt_utils_surrogate_key_null_-12.5"
+    assert df.select(S.surrogate_key(["t", "p", "f"])).collect()[0][0] == hashlib.md5(text.encode()).hexdigest()
+    cast = df.select(S.surrogate_key(["f"], {"f": "decimal(12,2)"})).collect()[0][0]
+    assert cast == hashlib.md5(b"12.50").hexdigest()
+
+
+def test_patterns_and_differences_are_never_null(spark):
+    df = spark.createDataFrame(
+        [("JFK Airport", None), (None, None), ("Park Slope", "JFK Airport"), ("a", "b"), ("a", "a")], "p string, d string"
+    )
+    rows = df.select(S.matches_any(["p", "d"], G.AIRPORT_TRIP_PATTERNS), S.differs("p", "d")).collect()
+    assert [tuple(r) for r in rows] == [(True, False), (False, False), (True, True), (False, True), (False, False)]
+
+
+def test_date_key_and_year_month(spark):
+    df = spark.createDataFrame([(dt.date(2024, 2, 9),)], "d date")
+    assert tuple(df.select(S.date_key("d"), S.year_month("d")).collect()[0]) == (20240209, "2024-02")
+
+
+def test_percent_change_guards(spark):
+    df = spark.createDataFrame([(10, 0), (10, None), (12, 10)], "c long, p long")
+    assert [r[0] for r in df.select(S.pct_change("c", "p")).collect()] == [None, None, 20.0]

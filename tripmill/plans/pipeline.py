@@ -11,10 +11,12 @@ corrected month gives back rows it used to displace.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache, reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql.types import StructType
 
 from tripmill.functions.scalars import year_month
 from tripmill.operators.checks import enforce, run_checks
@@ -25,10 +27,16 @@ from tripmill.plans.silver import YEAR, dedup_trips, derive_trips, enrich_trips,
 from tripmill.session import pin_session
 from tripmill.sinks import tables as K
 from tripmill.sources.bronze import ALL_MONTHS, read_bronze, read_lookup
-from tripmill.sources.schemas import RUN_LOG
+from tripmill.sources.schemas import BRONZE_TRIPS, RUN_LOG, ZONE_LOOKUP
 from tripmill.sources.spine import date_spine
 
 PIPELINE = "bronze_to_silver_trips"
+AGGREGATES = {
+    "agg_hourly_zone": G.agg_hourly_zone,
+    "agg_daily_borough": G.agg_daily_borough,
+    "agg_payment_trends": G.agg_payment_trends,
+}
+GOLD_TABLES = ["dim_date", "dim_zone", "fact_trips", *AGGREGATES]
 NO_MONTH = "unknown"  # partition of trips without a pickup time
 
 
@@ -74,8 +82,39 @@ class Lake:
         return self.path(f"gold/{name}")
 
 
+@lru_cache(maxsize=4)
+def table_schemas(spark: SparkSession) -> dict[str, StructType]:
+    """Schemas of the written tables by relative path, taken from their plans.
+
+    Reading with them spares the look into file footers, and lets a table that
+    has no rows yet, and so no files, be read like any other.
+    """
+    lineage = [("source_file", "string"), ("source_month", "string"), ("ingested_at", "timestamp_ntz")]
+    bronze = reduce(lambda schema, column: schema.add(*column), lineage, StructType(list(BRONZE_TRIPS.fields)))
+    zones = spark.createDataFrame([], ZONE_LOOKUP)
+    tagged = tag_trips(spark.createDataFrame([], bronze))
+    silver = _silver(accepted(tagged), zones)
+    now = "1970-01-01T00:00:00"
+    fact = G.fact_trips(G.staging_trips(silver), now)
+    frames = {
+        "silver/zone_lookup": zones,
+        "silver/trips": silver,
+        "silver/rejected": rejected(tagged),
+        "silver/coverage": coverage_of(tagged),
+        "gold/dim_date": G.dim_date(date_spine(spark, "2024-01-01", "2024-01-01"), "2024-01-01"),
+        "gold/dim_zone": G.dim_zone(zones),
+        "gold/fact_trips": fact,
+        **{f"gold/{name}": build(fact, now) for name, build in AGGREGATES.items()},
+    }
+    return {**{name: frame.schema for name, frame in frames.items()}, "silver/run_log": RUN_LOG}
+
+
 def read(spark: SparkSession, lake: Lake, path: str) -> DataFrame:
-    return spark.read.format(lake.fmt).load(path)
+    reader = spark.read.format(lake.fmt)
+    known = table_schemas(spark).get(path.removeprefix(f"{lake.root}/"))
+    if known is not None and lake.fmt == K.FORMAT:
+        reader = reader.schema(known)
+    return reader.load(path)
 
 
 def _exists(spark: SparkSession, lake: Lake, path: str) -> bool:
@@ -190,10 +229,10 @@ def _run_month(spark, lake, zones, month, mode, run_ts, year) -> dict:
         silver = _silver(_in_months(again, touched), zones)
         _write_silver(silver, lake, "touched")
     for empty in sorted(set(touched) - filled):  # had rows before, has none now
-        K.clear_leaf(spark, read(spark, lake, lake.silver).schema, lake.silver, "pickup_year_month", empty, lake.fmt)
+        K.clear_leaf(spark, table_schemas(spark)["silver/trips"], lake.silver, "pickup_year_month", empty, lake.fmt)
 
     raw = bronze.count()
-    bad = read(spark, lake, f"{lake.quarantine}/source_month={month}").count()
+    bad = read(spark, lake, lake.quarantine).where(of_month).count()
     kept = 0
     if touched and _exists(spark, lake, lake.silver):
         kept = read(spark, lake, lake.silver).where(of_month & F.col("pickup_year_month").isin(touched)).count()
@@ -211,9 +250,6 @@ def _in_months(trips: DataFrame, months: list[str]) -> DataFrame:
     return trips.where((raw >= first) & (raw < after))
 
 
-GOLD_TABLES = ["dim_date", "dim_zone", "fact_trips", "agg_hourly_zone", "agg_daily_borough", "agg_payment_trends"]
-
-
 def build_gold(spark: SparkSession, lake: Lake, run_ts: str, as_of: str, year: int = YEAR) -> dict[str, DataFrame]:
     """Dimensions, fact, then aggregates over the written fact; each a full replace."""
     pin_session(spark)
@@ -229,12 +265,7 @@ def build_gold(spark: SparkSession, lake: Lake, run_ts: str, as_of: str, year: i
         facts, lake.gold("fact_trips"), ["pickup_year_month"], ["pickup_date", "pickup_datetime"], "all", lake.fmt
     )
     fact = read(spark, lake, lake.gold("fact_trips"))
-    builders = {
-        "agg_hourly_zone": G.agg_hourly_zone,
-        "agg_daily_borough": G.agg_daily_borough,
-        "agg_payment_trends": G.agg_payment_trends,
-    }
-    for name, build in builders.items():
+    for name, build in AGGREGATES.items():
         K.write_table(build(fact, run_ts), lake.gold(name), lake.fmt)
     return {name: read(spark, lake, lake.gold(name)) for name in GOLD_TABLES}
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -43,6 +44,11 @@ def pin_session(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
 
 
+@lru_cache(maxsize=None)
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"tripmill-{application}-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -54,9 +60,7 @@ def shared_folder(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="tripmill-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    return _local_folder(spark.sparkContext.applicationId)
 
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
