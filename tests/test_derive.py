@@ -3,10 +3,12 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from tripmill.functions import scalars as S
 from tripmill.plans import gold as G
 from tripmill.plans import silver as V
+from tripmill.sources.bronze import MONTH_IN_PATH, month_in
 
 
 def derive(bronze_rows):
@@ -96,3 +98,27 @@ def test_date_key_and_year_month(spark):
 def test_percent_change_guards(spark):
     df = spark.createDataFrame([(10, 0), (10, None), (12, 10)], "c long, p long")
     assert [r[0] for r in df.select(S.pct_change("c", "p")).collect()] == [None, None, 20.0]
+
+
+def test_minutes_equal_decimal_rounding(spark):
+    seconds = spark.range(-5000, 200_000).withColumnRenamed("id", "s")
+    wrong = seconds.where(S.minutes_of(F.col("s")) != F.round(F.col("s") / 60, 2))
+    assert wrong.count() == 0
+
+
+def test_month_in_path_equals_the_pattern(spark):
+    paths = [
+        "file:/a/yellow_tripdata_2024-01.parquet",
+        "file:/a/yellow_tripdata_2024-01.parquet/part-0-x_y.snappy.parquet",
+        "file:/a/trip_file=yellow_tripdata_2024-12.parquet/part-0.parquet",
+        "file:/a/x2024-13.parquet",
+        "file:/a/old.parquet/green_2023-07.parquet",
+        "file:/a/yellow_12024-01.parquet",
+        "file:/a/yellow_2024-1.parquet",
+        "file:/a/yellow.parquet",
+        "file:/a/yellow_2024-01.csv",
+    ]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    rows = df.select(month_in(F.col("p")), F.regexp_extract("p", MONTH_IN_PATH, 1)).collect()
+    assert [r[0] for r in rows] == [r[1] for r in rows]
+    assert [r[0] for r in rows][:4] == ["2024-01", "2024-01", "2024-12", "2024-13"]

@@ -74,6 +74,15 @@ def whole_seconds(start: Column | str, end: Column | str) -> Column:
     return F.unix_timestamp(as_column(end)) - F.unix_timestamp(as_column(start))
 
 
+def minutes_of(seconds: Column) -> Column:
+    """Whole seconds as minutes with two digits.
+
+    Hundredths of a minute are thirds of five seconds, so they never fall on a
+    half and plain rounding to an integer gives the decimal result.
+    """
+    return F.rint(seconds * 5 / 3) / 100
+
+
 def guarded_ratio(numerator: Column, denominator: Column, digits: int, factor: float | None = None) -> Column:
     """Rounded quotient, NULL unless the denominator is positive."""
     quotient = numerator / denominator

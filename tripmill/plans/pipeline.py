@@ -261,8 +261,9 @@ def build_gold(spark: SparkSession, lake: Lake, run_ts: str, as_of: str, year: i
     K.write_table(G.dim_zone(read(spark, lake, lake.zones)), lake.gold("dim_zone"), lake.fmt)
 
     facts = G.fact_trips(staging, run_ts)
+    # Silver files already hold one pickup month each, sorted by time: no shuffle
     K.write_partitions(
-        facts, lake.gold("fact_trips"), ["pickup_year_month"], ["pickup_date", "pickup_datetime"], "all", lake.fmt
+        facts, lake.gold("fact_trips"), ["pickup_year_month"], replace="all", fmt=lake.fmt, gather=False
     )
     fact = read(spark, lake, lake.gold("fact_trips"))
     for name, build in AGGREGATES.items():

@@ -80,7 +80,7 @@ def derive_trips(trips: DataFrame) -> DataFrame:
     seconds = S.whole_seconds("pickup_datetime", "dropoff_datetime")
     duration = F.col("trip_duration_min")
     return (
-        trips.withColumn("trip_duration_min", F.round(seconds / 60, 2))
+        trips.withColumn("trip_duration_min", S.minutes_of(seconds))
         .withColumn("avg_speed_mph", S.guarded_speed(F.col("trip_distance"), duration))
         .withColumns(
             {

@@ -38,10 +38,15 @@ def local_session(cores: int | str = 8, app: str = "tripmill", **conf: str) -> S
 
 
 def pin_session(spark: SparkSession) -> None:
-    """Settings the results depend on: UTC, and partition values read as text
-    (2024-01 is a month here, not a date)."""
+    """Settings the pipeline depends on.
+
+    UTC; partition values read as text (2024-01 is a month here, not a date);
+    and a few open files per writing task, so that rows already grouped by
+    partition are not sorted again.
+    """
     spark.conf.set("spark.sql.session.timeZone", SESSION_ZONE)
     spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+    spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "16")
 
 
 @lru_cache(maxsize=None)

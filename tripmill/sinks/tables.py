@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tripmill.sinks.layout import balanced
@@ -38,18 +39,22 @@ def write_partitions(
     order: Sequence[str] = (),
     replace: str = "touched",
     fmt: str = FORMAT,
+    gather: bool = True,
 ) -> None:
     """Partitioned overwrite.
 
     ``touched`` replaces only the partitions present in ``df``, so writing the
-    same month again leaves the same table; ``all`` replaces the table. Rows are
-    brought together by partition and first order column before writing, which
-    keeps the number of files down, while adaptive execution splits partitions
-    that are too large for one task.
+    same month again leaves the same table; ``all`` replaces the table.
+
+    With ``gather``, rows are brought together by partition and first order
+    column and sorted before writing, which keeps the number of files down,
+    while adaptive execution splits partitions that are too large for one task.
+    Without it there is no shuffle: right for rows read from a table that is
+    already laid out by the same partitions.
     """
     if replace not in ("touched", "all"):
         raise ValueError(f"replace is 'touched' or 'all', not {replace!r}")
-    laid_out = balanced(df, [*by, *order[:1]]).sortWithinPartitions(*by, *order)
+    laid_out = balanced(df, [*by, *order[:1]]).sortWithinPartitions(*by, *order) if gather else df
     mode = "dynamic" if replace == "touched" else "static"
     laid_out.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*by).save(path)
 
@@ -68,5 +73,5 @@ def clear_leaf(spark: SparkSession, schema: StructType, path: str, column: str,
 
 def append_record(spark: SparkSession, path: str, record: dict, schema: StructType, fmt: str = FORMAT) -> None:
     """One log row; names are checked against the schema."""
-    row = tuple(record[name] for name in schema.names)
-    spark.createDataFrame([row], schema).coalesce(1).write.format(fmt).mode("append").save(path)
+    row = spark.range(1).select(*[F.lit(record[f.name]).cast(f.dataType).alias(f.name) for f in schema.fields])
+    row.coalesce(1).write.format(fmt).mode("append").save(path)
