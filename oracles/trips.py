@@ -498,52 +498,51 @@ TO_ALL = [*TO_FACT, DATES, DIM_ZONE, HOURLY, DAILY_BASE, DAILY, PAYMENTS]
 _LABELS = "'credit_card', 'cash', 'no_charge', 'dispute', 'unknown'"
 _BOROUGHS = "'Manhattan', 'Brooklyn', 'Queens', 'Bronx', 'Staten Island', 'EWR', 'Unknown'"
 
-ORACLES["dq_not_null"] = _report(
-    TO_ALL,
-    [
-        *_nulls(
-            "silver_trips", "silver", "pickup_datetime", "dropoff_datetime", "fare_amount", "PULocationID",
-            "DOLocationID",
-        ),
-        *_nulls("dim_date", "dates", "date_key", "calendar_date", "is_weekend"),
-        *_nulls("dim_zone", "dim_zone", "location_id", "borough"),
-        *_nulls(
-            "fact_trips", "fact", "trip_id", "date_key", "pickup_location_id", "fare_amount", "total_cost",
-            "trip_duration_min",
-        ),
-        *_nulls(
-            "agg_hourly_zone", "hourly", "pickup_date", "pickup_hour", "pickup_location_id", "total_trips",
-            "total_revenue",
-        ),
-        *_nulls("agg_daily_borough", "daily", "pickup_date", "pickup_borough", "total_trips"),
-        *_nulls("agg_payment_trends", "payments", "pickup_month", "payment_type_label"),
-    ],
-)
-ORACLES["dq_unique"] = _report(
-    [*TO_FACT, DATES, DIM_ZONE],
-    [
-        *_repeats("dim_date", "dates", "date_key", "calendar_date"),
-        *_repeats("dim_zone", "dim_zone", "location_id"),
-        *_repeats("fact_trips", "fact", "trip_id"),
-    ],
-)
-ORACLES["dq_accepted_values"] = _report(
-    TO_ALL,
-    [
-        _strays("dim_date", "dates", "is_weekend", "true, false"),
-        _strays("dim_zone", "dim_zone", "borough", _BOROUGHS),
-        _strays("fact_trips", "fact", "payment_type_label", _LABELS),
-        _strays("agg_payment_trends", "payments", "payment_type_label", _LABELS),
-    ],
-)
-ORACLES["dq_relationships"] = _report(
-    TO_STAR,
-    [
-        _lost("fact_trips", "fact", "date_key", "dates", "date_key"),
-        _lost("fact_trips", "fact", "pickup_location_id", "dim_zone", "location_id"),
-        _lost("fact_trips", "fact", "dropoff_location_id", "dim_zone", "location_id"),
-    ],
-)
+NOT_NULL_LINES = [
+    *_nulls(
+        "silver_trips", "silver", "pickup_datetime", "dropoff_datetime", "fare_amount", "PULocationID", "DOLocationID"
+    ),
+    *_nulls("dim_date", "dates", "date_key", "calendar_date", "is_weekend"),
+    *_nulls("dim_zone", "dim_zone", "location_id", "borough"),
+    *_nulls(
+        "fact_trips", "fact", "trip_id", "date_key", "pickup_location_id", "fare_amount", "total_cost",
+        "trip_duration_min",
+    ),
+    *_nulls(
+        "agg_hourly_zone", "hourly", "pickup_date", "pickup_hour", "pickup_location_id", "total_trips", "total_revenue"
+    ),
+    *_nulls("agg_daily_borough", "daily", "pickup_date", "pickup_borough", "total_trips"),
+    *_nulls("agg_payment_trends", "payments", "pickup_month", "payment_type_label"),
+]
+UNIQUE_LINES = [
+    *_repeats("dim_date", "dates", "date_key", "calendar_date"),
+    *_repeats("dim_zone", "dim_zone", "location_id"),
+    *_repeats("fact_trips", "fact", "trip_id"),
+]
+ACCEPTED_LINES = [
+    _strays("dim_date", "dates", "is_weekend", "true, false"),
+    _strays("dim_zone", "dim_zone", "borough", _BOROUGHS),
+    _strays("fact_trips", "fact", "payment_type_label", _LABELS),
+    _strays("agg_payment_trends", "payments", "payment_type_label", _LABELS),
+]
+PARENT_LINES = [
+    _lost("fact_trips", "fact", "date_key", "dates", "date_key"),
+    _lost("fact_trips", "fact", "pickup_location_id", "dim_zone", "location_id"),
+    _lost("fact_trips", "fact", "dropoff_location_id", "dim_zone", "location_id"),
+]
+ASSERTION_LINES = [
+    _line("assertion", "fact_trips", "no_negative_fares", "select count(*) from fact where fare_amount < 0"),
+    _line(
+        "assertion",
+        "fact_trips",
+        "pickup_before_dropoff",
+        "select count(*) from fact where pickup_datetime >= dropoff_datetime or trip_duration_min <= 0",
+    ),
+]
+ORACLES["dq_not_null"] = _report(TO_ALL, NOT_NULL_LINES)
+ORACLES["dq_unique"] = _report([*TO_FACT, DATES, DIM_ZONE], UNIQUE_LINES)
+ORACLES["dq_accepted_values"] = _report(TO_ALL, ACCEPTED_LINES)
+ORACLES["dq_relationships"] = _report(TO_STAR, PARENT_LINES)
 ORACLES["dq_raw_trips"] = _report(
     [BRIDGE, ZONES, DIM_ZONE],
     [
@@ -731,6 +730,16 @@ select 'bronze_to_silver_trips' as pipeline_name, 'all' as target_month, 'full'
   raw_rows, silver_rows, date_rejects + rule_rejects as quarantine_rows, dupes_removed
 from (select {FUNNEL})""",
 )
+ORACLES["bronze_lineage"] = over(
+    [BRIDGE],
+    f"""
+select source_month, source_file as file_name, timestamp '2024-06-15 06:00:00' as ingested_at,
+  count(*) as row_count, {total("fare_amount")} as fares
+from trips group by all""",
+)
+ORACLES["medallion_quality"] = _report(
+    TO_ALL, NOT_NULL_LINES + UNIQUE_LINES + ACCEPTED_LINES + PARENT_LINES + ASSERTION_LINES
+)
 ORACLES["medallion_rerun"] = over(
     TO_SILVER,
     f"""

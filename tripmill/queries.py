@@ -26,7 +26,7 @@ from tripmill.sinks import landing as L
 from tripmill.sinks import layout as Y
 from tripmill.sinks import tables as K
 from tripmill.sources import star
-from tripmill.sources.bronze import TRIP_FILE
+from tripmill.sources.bronze import ALL_MONTHS, TRIP_FILE, read_bronze
 from tripmill.sources.schemas import BRONZE_TRIPS
 from tripmill.sources.spine import date_spine_of
 from tripmill.streaming import trips as stream
@@ -582,6 +582,16 @@ def _landed_lake(spark: SparkSession, sf_dir: str) -> P.Lake:
     return lake
 
 
+@query
+def bronze_lineage(spark, sf_dir):
+    """Every landed month read back with its lineage."""
+    bronze = read_bronze(spark, _landed_lake(spark, sf_dir).bronze, ALL_MONTHS, RUN_TS)
+    name = F.regexp_extract("source_file", r"(yellow_tripdata_[^/]*\.parquet)", 1)
+    return bronze.groupBy("source_month", name.alias("file_name"), "ingested_at").agg(
+        M.rows().alias("row_count"), M.total("fare_amount").alias("fares")
+    )
+
+
 @query
 def medallion_run_log(spark, sf_dir):
     """Land, full Silver build, and the logged counts."""
@@ -611,6 +621,15 @@ def medallion_gold(spark, sf_dir):
     return P.build_gold(spark, lake, RUN_TS, AS_OF)["agg_daily_borough"].drop("aggregated_at")
 
 
+@query
+def medallion_quality(spark, sf_dir):
+    """The whole run; the report of every declared check over the written tables."""
+    lake = _landed_lake(spark, sf_dir)
+    P.run_silver(spark, lake, mode="full", run_ts=RUN_TS)
+    P.build_gold(spark, lake, RUN_TS, AS_OF)
+    return P.check_run(spark, lake, gate=False)
+
+
 @query
 def layout_range(spark, sf_dir):
     """Trips written in range layout and read back."""
