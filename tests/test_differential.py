@@ -43,11 +43,38 @@ SHUFFLED = [
 ]
 
 
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
+SPLIT_ALL = {
+    **NO_BROADCAST,
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "0.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+}
+
+
+@pytest.fixture
+def settings(spark):
+    """Sets session values for one test."""
+    before = {}
+
+    def change(values):
+        for key, value in values.items():
+            before[key] = spark.conf.get(key, None)
+            spark.conf.set(key, value)
+
+    yield change
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 @pytest.mark.parametrize("name", SHUFFLED)
-def test_same_result_without_broadcasts(spark, sf_dir, duck, name):
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert differences(contract.queries()[name](spark, sf_dir), duck, SQL[name]) == []
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+def test_same_result_without_broadcasts(spark, sf_dir, duck, name, settings):
+    settings(NO_BROADCAST)
+    assert differences(contract.queries()[name](spark, sf_dir), duck, SQL[name]) == []
+
+
+@pytest.mark.parametrize("name", ["fact_trips", "segment_share", "star_join_holiday"])
+def test_same_result_with_every_partition_split_as_skewed(spark, sf_dir, duck, name, settings):
+    settings(SPLIT_ALL)
+    assert differences(contract.queries()[name](spark, sf_dir), duck, SQL[name]) == []
