@@ -136,8 +136,8 @@ class Benchmark:
         order = np.argsort(flat, kind="stable")
         self.owner, self.place = np.concatenate(owner)[order], np.concatenate(place)[order]
         self.grams, self.first, self.many = np.unique(flat[order], return_index=True, return_counts=True)
-        self.maybe = np.zeros(1 << 24, bool)
-        self.maybe[self.grams >> np.uint64(40)] = True
+        self.maybe = np.zeros(1 << 22, bool)  # small enough for a processor's cache
+        self.maybe[self.grams >> np.uint64(42)] = True
 
     def find(self, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
         """(item_id, start, end, edits) for each text, in characters of the text."""
@@ -153,6 +153,16 @@ class Benchmark:
                 batch, size = [], 0
         return out
 
+    def _exact(self, m: int, codes: np.ndarray, low: int, width: int) -> tuple[int, int, int] | None:
+        """The item itself on the first diagonal of the band that has it."""
+        item = self.codes[m]
+        first, last = max(low, 0), min(low + width, len(codes) - len(item) + 1)
+        at = codes[first : max(first, last)] == item[0]
+        for d in (first + np.flatnonzero(at)).tolist():
+            if (codes[d : d + len(item)] == item).all():
+                return 0, d, d + len(item)
+        return None
+
     def _find(self, batch: list[int], texts: list[str], out: list) -> None:
         both = [characters(texts[n]) for n in batch]
         codes = [c for c, _ in both]
@@ -160,7 +170,7 @@ class Benchmark:
         starts = np.cumsum(lengths) - lengths
         flat = np.concatenate(codes)
         hashes = gram_hashes(flat, self.p.q)
-        spot = np.flatnonzero(self.maybe[hashes >> np.uint64(40)])
+        spot = np.flatnonzero(self.maybe[hashes >> np.uint64(42)])
         known = np.searchsorted(self.grams, hashes[spot])
         known = np.minimum(known, len(self.grams) - 1)
         spot, known = (x[self.grams[known] == hashes[spot]] for x in (spot, known))
@@ -172,16 +182,24 @@ class Benchmark:
         entry = np.repeat(self.first[known] - (np.cumsum(many) - many), many) + np.arange(many.sum())
         item, place = self.owner[entry], self.place[entry]
         doc, local = np.repeat(doc, many), np.repeat(spot - starts[doc], many)
-        step = self.budget[item] + 1
+        # first without bands: most documents share too little with an item as a whole
+        pair = doc * len(self.ids) + item
+        found, back, total = np.unique(pair, return_inverse=True, return_counts=True)
+        enough = (total >= self.bound[found % len(self.ids)])[back]
+        pair, place, local = pair[enough], place[enough], local[enough]
+        step = self.budget[pair % len(self.ids)] + 1
         band = (local - place) // step  # of two overlapping bands, the one that begins here
-        keys = np.concatenate([np.stack([doc, item, band]), np.stack([doc, item, band - 1])], axis=1)
-        order = np.lexsort(keys[::-1])
-        keys = keys[:, order]
+        keys = np.stack([np.tile(pair, 2), np.concatenate([band, band - 1]), np.tile(place, 2)])
+        keys = keys[:, np.lexsort(keys[::-1])]
+        # an item's q-gram counts once in a band, however often the text repeats it
+        keys = keys[:2, np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)])] if keys.shape[1] else keys[:2]
         new = np.flatnonzero(np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)])) if keys.shape[1] else np.empty(0, int)
         count = np.diff(np.append(new, keys.shape[1]))
-        for n, m, b in keys[:, new[count >= self.bound[keys[1, new]]]].T.tolist():
+        for both_of, b in keys[:, new[count >= self.bound[keys[0, new] % len(self.ids)]]].T.tolist():
+            n, m = divmod(both_of, len(self.ids))
             k = int(self.budget[m])
-            hit = banded_distance(self.codes[m], codes[n], b * (k + 1), 2 * (k + 1), k)
+            hit = self._exact(m, codes[n], b * (k + 1), 2 * (k + 1))
+            hit = hit or banded_distance(self.codes[m], codes[n], b * (k + 1), 2 * (k + 1), k)
             if hit:
                 edits, start, end = hit
                 where = both[n][1]
