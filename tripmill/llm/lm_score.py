@@ -14,7 +14,7 @@ The automaton of a whole corpus fits into no task, and it need not: documents ar
 dealt into blocks, and each block builds the part of the automaton that its texts can
 reach. Blocks list their distinct n-grams, hashed, with their own counts; lists are
 cut by hash range into buckets, each bucket sums its range over all blocks and sends
-every block back the n-grams whose total differs from its own count. A word that half
+every block back the totals of its entries. A word that half
 of all texts hold is one entry a block. Only N and V pass through the driver.
 """
 
@@ -31,10 +31,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import MIX_A, WordHashes, byte_texts, fold_of, mix, words
+from tripmill.llm.common import MIX_A, byte_texts, fold_of, mix
 
-END = b"\n"  # no word holds it
-MESSAGE = "bucket long, block long, data binary"
+BASE = np.uint64(0x9E3779B97F4A7C15)
+BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
+SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+END = np.uint64(0x5851F42D4C957F2D)  # the hash of the end of a text
+MESSAGE = "bucket long, block long, keys binary, counts binary"
 SCORES = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
     "base_score double, score double"
@@ -46,127 +49,140 @@ class BackoffModel:
     """``order``: longest n-gram; ``strength``: K, the weight of the shorter history.
 
     ``block_bytes`` is how much text a block holds on average, which
-    bounds a task's memory (a single longer text makes a larger block).
+    bounds a task's memory (a single longer text makes a larger block). N-grams travel as
+    ``hash_bits`` bits of hash: among 10^13 of them one in 7,000 shares its own.
     """
 
     order: int = 2
     strength: float = 200.0
     folds: int = 5
     held_out: int = 1
-    block_bytes: int = 2_500_000
+    block_bytes: int = 4_000_000
+    hash_bits: int = 56
     least_buckets: int = 64
 
 
-def packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Sorted distinct keys and their counts, small: key differences by byte plane."""
-    steps = np.diff(keys, prepend=np.uint64(0))
-    planes = steps.view(np.uint8).reshape(-1, 8).T.tobytes()
-    narrow = counts.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes()
-    return len(keys).to_bytes(8, "little") + zstandard.compress(planes + narrow, 1)
+def packed(values: np.ndarray) -> bytes:
+    """Unsigned integers, small: byte by byte of all values, then compressed."""
+    return zstandard.compress(values.view(np.uint8).reshape(len(values), -1).T.tobytes(), 1)
 
 
-def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n = int.from_bytes(data[:8], "little")
-    flat = np.frombuffer(zstandard.decompress(data[8:]), np.uint8)
-    steps = np.ascontiguousarray(flat[: 8 * n].reshape(8, n).T).view(np.uint64).ravel()
-    counts = np.ascontiguousarray(flat[8 * n :].reshape(4, n).T).view(np.uint32).ravel()
-    return np.cumsum(steps, dtype=np.uint64), counts.astype(np.int64)
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    flat = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(flat.T).view(kind).ravel()
+
+
+def tokens(texts: list[bytes], batch: int = 1 << 19) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word, with one for the end after each text, and their number by text.
+
+    Words are runs without the bytes 0x20 and 0x09-0x0D, with A-Z in lower case. A word's
+    hash is a polynomial of its bytes, taken from sums over the whole batch and mixed.
+    """
+    hashes, lengths, begin = [], [], 0
+    while begin < len(texts):
+        stop, size = begin, 0
+        while stop < len(texts) and (size < batch or stop == begin):
+            size += len(texts[stop]) + 1
+            stop += 1
+        data = np.frombuffer((b"\n".join(texts[begin:stop]) + b"\n").lower(), np.uint8)
+        starts_of = np.cumsum([0] + [len(t) + 1 for t in texts[begin : stop - 1]])
+        blank = np.concatenate([[True], SPACE[data]])
+        change = np.flatnonzero(blank[1:] != blank[:-1])
+        starts, stops = change[0::2], change[1::2]
+        power = np.cumprod(np.full(len(data), BASE))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data + np.uint64(1)) * power, dtype=np.uint64)])
+        shift = np.cumprod(np.full(len(data) + 1, BASE_INVERSE))[starts]
+        found = mix((sums[stops] - sums[starts]) * shift + (stops - starts).astype(np.uint64) * MIX_A)
+        counts = np.diff(np.append(np.searchsorted(starts, starts_of), len(starts)))
+        out = np.full(len(found) + len(counts), END, np.uint64)
+        out[np.arange(len(found)) + np.repeat(np.arange(len(counts)), counts)] = found
+        hashes.append(out)
+        lengths.append(counts + 1)
+        begin = stop
+    none = np.empty(0, np.int64)
+    return np.concatenate([none.astype(np.uint64), *hashes]), np.concatenate([none, *lengths])
 
 
 class Grams:
-    """The distinct n-grams of a block's texts, as hashes, with the places where they end.
+    """The distinct n-grams of a block's texts, numbered, and the places where they end.
 
-    ``of[k]`` holds, for order k + 1: sorted ``keys``, the index ``at`` each position
-    (or -1 where the text is too short for one), and a ``first`` position of each.
+    ``of[k]`` holds, for order k + 1: a 64-bit hash of each, its number ``at`` each
+    position (-1 where the text is too short for one), and a position of each.
     """
 
     def __init__(self, texts: list[bytes], order: int) -> None:
-        hashes = WordHashes(most=1 << 62)
-        self.lengths, pieces = [], []
-        for text in texts:
-            found = words(text)
-            found.append(END)
-            self.lengths.append(len(found))
-            pieces.append(hashes.of(found))
-        token = np.concatenate(pieces) if pieces else np.empty(0, np.uint64)
+        flat, self.lengths = tokens(texts)
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)]).astype(np.int64)
-        depth = np.arange(len(token)) - np.repeat(self.starts[:-1], self.lengths)
-        self.of, gram = [], token
-        for k in range(order):
-            if k:
-                gram = mix(np.concatenate([np.zeros(1, np.uint64), gram[:-1]]) * MIX_A + np.uint64(k)) + token
-            here = np.flatnonzero(depth >= k)
-            keys, first, place = np.unique(mix(gram[here] + np.uint64(k)), return_index=True, return_inverse=True)
-            at = np.full(len(token), -1, np.int64)
-            at[here] = place
-            self.of.append((keys, at, here[first]))
-
-    def counts(self, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All keys, sorted, with the number of times they occur in training texts."""
+        word, hashes = pd.factorize(flat)
+        first = np.zeros(len(hashes), np.int64)
+        first[word[::-1]] = np.arange(len(word))[::-1]
+        self.of = [(hashes, word, first)]
+        inner = np.ones(len(word), bool)  # whether the token before is of the same text
+        inner[self.starts[:-1]] = False
+        for k in range(1, order):
+            above, before, _ = self.of[-1]
+            ends = np.flatnonzero(inner[1:] & (before[:-1] >= 0)) + 1
+            pairs, kinds = pd.factorize(before[ends - 1] * len(hashes) + word[ends])
+            at = np.full(len(word), -1, np.int64)
+            at[ends] = pairs
+            place = np.zeros(len(kinds), np.int64)
+            place[pairs[::-1]] = ends[::-1]
+            self.of.append((mix(above[before[place - 1]] * MIX_A + hashes[word[place]] + np.uint64(k)), at, place))
+
+    def counts(self, train: np.ndarray) -> list[np.ndarray]:
+        """How often each n-gram occurs in training texts, by order."""
         inside = np.repeat(train, self.lengths)
-        keys, counts = [], []
-        for found, at, _ in self.of:
-            keys.append(found)
-            counts.append(np.bincount(at[inside & (at >= 0)], minlength=len(found)))
-        keys, counts = np.concatenate(keys), np.concatenate(counts)
+        return [np.bincount(at[inside & (at >= 0)], minlength=len(keys)) for keys, at, _ in self.of]
+
+    def sorted_keys(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """The first ``bits`` bits of all orders' hashes, ascending, and their order."""
+        keys = np.concatenate([keys for keys, _, _ in self.of]) >> np.uint64(64 - bits)
         order = np.argsort(keys, kind="stable")
-        return keys[order], counts[order]
+        return keys[order], order
 
 
 class Automaton:
-    """States, weighted arcs and failure arcs that the texts of one block can reach.
+    """The states, weighted arcs and failure arcs along the texts of one block.
 
-    State 0 has no history. Other states are the block's (n-1)-grams and shorter ones
-    that occur in training; an arc's key is its state times the number of words plus
-    the word, all numbered within the block.
+    Before a token, the state that history of d words names is known by its depth d.
+    ``arcs[d]`` has, for each token, the weight of its arc from that state, or NaN where
+    there is none, and ``fails[d]`` the weight of the state's failure arc to depth d - 1.
+    A history that training lacks is no state: it fails at no cost.
     """
 
     def __init__(self, grams: Grams, counts: list[np.ndarray], total: int, kinds: int, strength: float) -> None:
-        self.size = len(counts[0])
         lower = np.log10((counts[0] + 0.5) / (total + 0.5 * (kinds + 1)))
-        self.fail, self.fail_weight = [0], [0.0]
-        state_of, first_state = [], 1
-        for k in range(len(counts) - 1):  # states of histories of k + 1 words
-            seen = counts[k] > 0
-            number = np.where(seen, first_state + np.cumsum(seen) - 1, 0)
-            state_of.append(number)
-            first_state += int(seen.sum())
-            where = grams.of[k][2][seen]
-            shorter = state_of[k - 1][grams.of[k - 1][1][where]] if k else np.zeros(len(where), np.int64)
-            self.fail += shorter.tolist()
-            self.fail_weight += np.log10(strength / (counts[k][seen] + strength)).tolist()
-        self.arcs: dict[int, int] = {w: w for w in range(self.size)}
-        self.weight, self.target = lower.tolist(), (state_of[0] if state_of else np.zeros(self.size, np.int64)).tolist()
-        word_at = grams.of[0][1]
+        self.arcs, self.fails = [lower[grams.of[0][1]]], [np.zeros(len(grams.of[0][1]))]
         for k in range(1, len(counts)):
-            _, at, first = grams.of[k]
+            (_, before, _), (_, at, place) = grams.of[k - 1 : k + 1]
+            history, suffix = before[place - 1], before[place]
             seen = counts[k] > 0
-            where = first[seen]
-            history = grams.of[k - 1][1][where - 1]
-            below = 10.0 ** lower[grams.of[k - 1][1][where]]
-            value = np.log10((counts[k][seen] + strength * below) / (counts[k - 1][history] + strength))
-            keys = state_of[k - 1][history] * self.size + word_at[where]
-            self.arcs.update(zip(keys.tolist(), range(len(self.weight), len(self.weight) + len(where))))
-            self.weight += value.tolist()
-            last = state_of[k][seen] if k < len(state_of) else state_of[-1][grams.of[k - 1][1][where]]
-            self.target += last.tolist()
-            lower = np.full(len(counts[k]), -np.inf)
-            lower[seen] = value
-
-    def score(self, text: list[int]) -> float:
-        """log10 probability of the word numbers, in one traversal."""
-        arc_of, weight, target, fail, fail_weight, size = (
-            self.arcs.get, self.weight, self.target, self.fail, self.fail_weight, self.size,
-        )
-        state, total = 0, 0.0
-        for word in text:
-            arc = arc_of(state * size + word)
-            while arc is None:
-                total += fail_weight[state]
-                state = fail[state]
-                arc = arc_of(state * size + word)
-            total += weight[arc]
-            state = target[arc]
+            value = np.full(len(place), np.nan)
+            below = 10.0 ** lower[suffix[seen]]
+            value[seen] = np.log10((counts[k][seen] + strength * below) / (counts[k - 1][history[seen]] + strength))
+            fail = np.log10(strength / (counts[k - 1] + strength))  # 0 for a history not seen
+            inside = at >= 0
+            arcs, fails = np.full(len(at), np.nan), np.zeros(len(at))
+            arcs[inside] = value[at[inside]]
+            fails[inside] = fail[history[at[inside]]]
+            self.arcs.append(arcs)
+            self.fails.append(fails)
+            lower = value
+
+    def score(self, first: int, last: int) -> float:
+        """log10 probability of the tokens from first to last - 1, in one traversal."""
+        arcs = [a[first:last].tolist() for a in self.arcs]
+        fails = [f[first:last].tolist() for f in self.fails]
+        depth, total, most = 0, 0.0, len(arcs) - 1
+        for k in range(last - first):
+            weight = arcs[depth][k]
+            while weight != weight:  # no arc: fall back
+                total += fails[depth][k]
+                depth -= 1
+                weight = arcs[depth][k]
+            total += weight
+            if depth < most:
+                depth += 1
         return total
 
 
@@ -174,56 +190,57 @@ def _texts(docs: pd.DataFrame) -> list[bytes]:
     return [b"" if t is None else bytes(t) for t in docs["text"]]
 
 
-def _requests(order: int, buckets: int):
+def _cuts(keys: np.ndarray, buckets: int, bits: int) -> np.ndarray:
+    """Where each bucket's hash range begins among sorted keys, and the end."""
+    bounds = np.array([(k << bits) // buckets for k in range(1, buckets)], np.uint64)
+    return np.concatenate([[0], np.searchsorted(keys, bounds), [len(keys)]])
+
+
+def _requests(model: BackoffModel, buckets: int):
     """A message to each bucket in whose hash range the block has n-grams."""
-    bounds = np.array([(k << 64) // buckets for k in range(1, buckets)], np.uint64)
 
     def run(docs: pd.DataFrame) -> pd.DataFrame:
-        keys, counts = Grams(_texts(docs), order).counts(~docs["held_out"].to_numpy(bool))
-        cuts = [0, *np.searchsorted(keys, bounds).tolist(), len(keys)]
-        block = docs["block"].iloc[0]
-        rows = [
-            (k, block, packed(keys[cuts[k] : cuts[k + 1]], counts[cuts[k] : cuts[k + 1]]))
-            for k in range(buckets)
-            if cuts[k] < cuts[k + 1]
-        ]
-        return pd.DataFrame(rows, columns=["bucket", "block", "data"])
+        grams = Grams(_texts(docs), model.order)
+        keys, order = grams.sorted_keys(model.hash_bits)
+        counts = np.concatenate(grams.counts(~docs["held_out"].to_numpy(bool)))[order].astype(np.uint32)
+        cuts, block, rows = _cuts(keys, buckets, model.hash_bits), docs["block"].iloc[0], []
+        for k in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+            part = slice(cuts[k], cuts[k + 1])
+            rows.append((k, block, packed(np.diff(keys[part], prepend=np.uint64(0))), packed(counts[part])))
+        return pd.DataFrame(rows, columns=["bucket", "block", "keys", "counts"])
 
     return run
 
 
 def _totals(messages: pd.DataFrame) -> pd.DataFrame:
-    """Sums one hash range over all blocks and answers the blocks that have news."""
-    asked = [unpacked(bytes(d)) for d in messages["data"]]
-    keys, counts = (np.concatenate([a[k] for a in asked]) for k in (0, 1))
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    begin = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    keys, total = keys[begin], np.add.reduceat(counts, begin)
-    rows = []
-    for block, (own, mine) in zip(messages["block"], asked):
-        found = total[np.searchsorted(keys, own)]
-        news = found != mine
-        if news.any():
-            rows.append((messages["bucket"].iloc[0], block, packed(own[news], found[news])))
-    return pd.DataFrame(rows, columns=["bucket", "block", "data"])
-
-
-def _scores(order: int, strength: float, tokens: int, kinds: int):
+    """Sums one hash range over all blocks and answers each in the order of its keys."""
+    asked = [np.cumsum(unpacked(bytes(d), np.uint64), dtype=np.uint64) for d in messages["keys"]]
+    counts = np.concatenate([unpacked(bytes(d), np.uint32) for d in messages["counts"]])
+    number, kinds = pd.factorize(np.concatenate(asked))
+    total = np.bincount(number, counts, minlength=len(kinds)).astype(np.uint32)[number]
+    ends = np.cumsum([len(a) for a in asked])
+    parts = np.split(total, ends[:-1])
+    return pd.DataFrame(
+        {"bucket": messages["bucket"], "block": messages["block"], "keys": b"", "counts": [packed(p) for p in parts]}
+    )
+
+
+def _scores(model: BackoffModel, buckets: int, total: int, kinds: int):
     def run(docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        grams = Grams(_texts(docs), order)
-        keys, counts = grams.counts(~docs["held_out"].to_numpy(bool))
-        for data in answers["data"]:
-            changed, total = unpacked(bytes(data))
-            counts[np.searchsorted(keys, changed)] = total
-        by_order = [counts[np.searchsorted(keys, found)] for found, _, _ in grams.of]
-        automaton = Automaton(grams, by_order, tokens, kinds, strength)
-        base = np.log10((by_order[0] + 0.5) / (tokens + 0.5 * (kinds + 1)))
+        grams = Grams(_texts(docs), model.order)
+        keys, order = grams.sorted_keys(model.hash_bits)
+        cuts, flat = _cuts(keys, buckets, model.hash_bits), np.zeros(len(keys), np.int64)
+        for k, data in zip(answers["bucket"], answers["counts"]):
+            flat[order[cuts[k] : cuts[k + 1]]] = unpacked(bytes(data), np.uint32)
+        by_order = np.split(flat, np.cumsum([len(keys) for keys, _, _ in grams.of])[:-1])
+        automaton = Automaton(grams, by_order, total, kinds, model.strength)
+        base = np.log10((by_order[0] + 0.5) / (total + 0.5 * (kinds + 1)))
         known = by_order[0] > 0
         rows = []
         for k in range(len(docs)):
-            text = grams.of[0][1][grams.starts[k] : grams.starts[k + 1]]
-            rows.append((len(text), known[text].sum(), tokens, math.fsum(base[text].tolist()), automaton.score(text.tolist())))
+            first, last = grams.starts[k : k + 2].tolist()
+            text = grams.of[0][1][first:last]
+            rows.append((len(text), known[text].sum(), total, base[text].sum(), automaton.score(first, last)))
         out = pd.DataFrame(rows, columns=["n_tokens", "n_known", "train_tokens", "base_score", "score"])
         return pd.concat([docs[["doc_id", "held_out"]].reset_index(drop=True), out], axis=1)
 
@@ -232,18 +249,13 @@ def _scores(order: int, strength: float, tokens: int, kinds: int):
 
 def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The distinct training words of a task by hash, and how many tokens they are."""
-    hashes = WordHashes()
     for batch in batches:
-        found, tokens = [], 0
-        for text in byte_texts(batch.column(0)):
-            own = words(text)
-            own.append(END)
-            tokens += len(own)
-            found.append(np.unique(hashes.of(own)))
-        distinct = np.unique(np.concatenate(found)).view(np.int64)
-        counts = np.zeros(len(distinct), np.int64)
-        counts[0] = tokens
-        yield pa.RecordBatch.from_arrays([pa.array(distinct), pa.array(counts)], names=["word", "tokens"])
+        found, _ = tokens(byte_texts(batch.column(0)))
+        if len(found):
+            kinds = pd.unique(found).view(np.int64)
+            counts = np.zeros(len(kinds), np.int64)
+            counts[0] = len(found)
+            yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(counts)], names=["word", "tokens"])
 
 
 def lm_scores(docs: DataFrame, model: BackoffModel = BackoffModel()) -> DataFrame:
@@ -262,13 +274,13 @@ def lm_scores(docs: DataFrame, model: BackoffModel = BackoffModel()) -> DataFram
     size = docs.agg(F.sum(F.length("text") + 32)).first()[0] or 0
     held_out = fold_of(F.col("doc_id"), model.folds) == model.held_out
     met = docs.filter(~held_out).select("text").mapInArrow(_vocabulary, "word long, tokens long")
-    kinds, tokens = met.groupBy("word").agg(F.sum("tokens").alias("n")).agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    kinds, total = met.groupBy("word").agg(F.sum("tokens").alias("n")).agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     blocks = max(1, math.ceil(size / model.block_bytes))
     buckets = max(model.least_buckets, blocks // 2)
     # by content as well, so that rows which share an id, or have none, still spread
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))
     dealt = docs.select("doc_id", "text", held_out.alias("held_out"), block.alias("block"))
-    asked = dealt.groupBy("block").applyInPandas(_requests(model.order, buckets), MESSAGE)
+    asked = dealt.groupBy("block").applyInPandas(_requests(model, buckets), MESSAGE)
     answered = asked.groupBy("bucket").applyInPandas(_totals, MESSAGE)
     pairs = dealt.groupBy("block").cogroup(answered.groupBy("block"))
-    return pairs.applyInPandas(_scores(model.order, model.strength, tokens, kinds), SCORES)
+    return pairs.applyInPandas(_scores(model, buckets, total, kinds), SCORES)
