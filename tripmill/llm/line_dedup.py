@@ -40,8 +40,13 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
+def _cut(array: str, first: str, last: str, kind: str) -> str:
+    """Elements first .. last - 1; slice() would copy the whole array each time."""
+    return f"if({last} > {first}, transform(sequence({first}, {last} - 1), i -> {array}[i]), cast(array() as array<{kind}>))"
+
+
 def _chunks(docs: DataFrame, p: LineDedup) -> DataFrame:
-    """One row a chunk: place, size, hash, and line hashes and lengths of its neighbours."""
+    """One row a chunk: place, size, hash, and line hashes of its neighbours, nearest first."""
     lines = docs.filter("text is not null and text <> ''").select(*KEY, F.split("text", BREAK, -1).alias("lines"))
     hashed = lines.select(
         *KEY,
@@ -56,21 +61,15 @@ def _chunks(docs: DataFrame, p: LineDedup) -> DataFrame:
                 or pmod(xxhash64(h[i - 1], if(i > 1, h[i - 2], 0L)), {p.divisor}) = 0)"""
         ),
     )
-    placed = ends.withColumn("begins", F.expr("concat(array(0), slice(ends, 1, size(ends) - 1))"))
-    # chunk k covers lines begins[k] .. ends[k] - 1
-    rows = placed.select(*KEY, "h", "n", "begins", "ends", F.posexplode("begins").alias("k", "start"))
-    cut = "slice({0}, begins[{1}] + 1, ends[{1}] - begins[{1}])"
-    side = "if({0}, {1}, cast(array() as {2}))"
-    before, after = "k > 0", "k < size(ends) - 1"
-    return rows.select(
-        *KEY,
-        "start",
-        (F.expr("ends[k]") - F.col("start")).alias("size"),
-        F.expr("xxhash64(" + cut.format("h", "k") + ")").alias("chunk"),
-        F.expr("aggregate(" + cut.format("n", "k") + ", 0, (t, x) -> t + x)").alias("chars"),
-        F.expr(side.format(before, "reverse(" + cut.format("h", "k - 1") + ")", "array<bigint>")).alias("left"),
-        F.expr(side.format(after, cut.format("h", "k + 1"), "array<bigint>")).alias("right"),
-    ).filter("chars > 0")
+    spans = ends.withColumn("spans", F.expr("transform(ends, (e, k) -> struct(if(k > 0, ends[k - 1], 0) as a, e as b))"))
+    chunk = f"""transform(spans, (s, k) -> struct(
+        s.a as start,
+        s.b - s.a as size,
+        xxhash64({_cut("h", "s.a", "s.b", "bigint")}) as chunk,
+        exists(sequence(s.a, s.b - 1), i -> n[i] > 0) as visible,
+        if(k > 0, reverse({_cut("h", "spans[k - 1].a", "s.a", "bigint")}), cast(array() as array<bigint>)) as left,
+        if(k < size(spans) - 1, {_cut("h", "s.b", "spans[k + 1].b", "bigint")}, cast(array() as array<bigint>)) as right))"""
+    return spans.select(*KEY, F.inline(F.expr(chunk))).filter("visible").drop("visible")
 
 
 def _common(a: str, b: str) -> Column:
@@ -114,48 +113,46 @@ def dedup_lines(docs: DataFrame, p: LineDedup = LineDedup(), count: str | None =
     columns, whatever their names, stay. ``count`` names a column for the number of
     lines taken out.
     """
-    packed = docs.select(F.struct(*docs.columns).alias("dedup_row"), F.col("doc_id"), F.col("text").cast("string").alias("text"))
+    others = [c for c in docs.columns if c != "text"]
+    packed = docs.select(
+        F.struct(*[F.col(c) for c in others]).alias("dedup_row"), "doc_id", F.col("text").cast("string").alias("text")
+    )
     keyed = _keyed(packed)
     found = matches(keyed.select(*KEY, "text"), p)
-    own = F.expr("array_join(slice(split(text, '\\n', -1), first_start + 1, size), '\\n')")
     source = keyed.select(F.col("dedup_id").alias("first_id"), F.col("dedup_text").alias("first_text"), "text")
     # repeated rows give a passage several times: the array holds it several times, which changes nothing
-    shown = found.join(source, ["first_id", "first_text"]).select(*KEY, "start", "size", own.alias("passage"))
+    shown = (
+        found.join(source, ["first_id", "first_text"])
+        .withColumn("first_lines", F.split("text", BREAK, -1))
+        .select(*KEY, "start", "size", F.expr(f"array_join({_cut('first_lines', 'first_start', 'first_start + size', 'string')}, '\\n')").alias("passage"))
+    )
     by_doc = shown.groupBy(*KEY).agg(F.collect_list(F.struct("start", "size", "passage")).alias("found"))
-    joined = keyed.join(by_doc, KEY, "left")
-    lines = joined.withColumn("lines", F.when(F.col("found").isNotNull(), F.split("text", BREAK, -1)))
+    step = keyed.join(by_doc, KEY, "left")
+    step = step.withColumn("lines", F.when(F.col("found").isNotNull(), F.split("text", BREAK, -1)))
     # only lines that are the first occurrence's, byte for byte
-    same = lines.withColumn(
-        "found", F.expr("filter(found, f -> array_join(slice(lines, f.start + 1, f.size), '\\n') = f.passage)")
-    )
-    marks = same.withColumn("spots", F.expr("array_distinct(flatten(transform(found, f -> sequence(f.start, f.start + f.size - 1))))"))
-    sorted_ = marks.withColumn("spots", F.array_sort("spots"))
-    runs = sorted_.withColumn("heads", F.expr("filter(spots, (s, i) -> i = 0 or spots[i - 1] <> s - 1)")).withColumn(
+    own = _cut("lines", "f.start", "f.start + f.size", "string")
+    step = step.withColumn("found", F.expr(f"filter(found, f -> array_join({own}, '\\n') = f.passage)"))
+    spots = "array_sort(array_distinct(flatten(transform(found, f -> sequence(f.start, f.start + f.size - 1)))))"
+    step = step.withColumn("spots", F.expr(spots))
+    step = step.withColumn("heads", F.expr("filter(spots, (s, i) -> i = 0 or spots[i - 1] <> s - 1)")).withColumn(
         "tails", F.expr("filter(spots, (s, i) -> i = size(spots) - 1 or spots[i + 1] <> s + 1)")
     )
-    wordy = (
-        "size(filter(split(array_join(slice(lines, heads[k] + 1, tails[k] - heads[k] + 1), ' '), "
-        "'[\\\\x20\\\\x09-\\\\x0D]+'), w -> w <> ''))"
-    )
-    gone = runs.withColumn(
+    run = _cut("lines", "heads[k]", "tails[k] + 1", "string")
+    wordy = f"size(filter(split(array_join({run}, ' '), '[\\\\x20\\\\x09-\\\\x0D]+'), w -> w <> '')) >= {p.least_words}"
+    step = step.withColumn(
         "gone",
         F.expr(
-            "flatten(transform(filter(sequence(0, size(heads) - 1), "
-            f"k -> {wordy} >= {p.least_words}), k -> sequence(heads[k], tails[k])))"
+            f"if(size(heads) > 0, flatten(transform(filter(sequence(0, size(heads) - 1), k -> {wordy}), "
+            "k -> sequence(heads[k], tails[k]))), cast(array() as array<int>))"
         ),
     )
-    removed = F.expr("case when size(spots) > 0 then size(gone) else 0 end")
-    text = F.expr(
-        "case when size(spots) > 0 and size(gone) > 0 "
-        "then array_join(filter(lines, (l, i) -> not array_contains(gone, i)), '\\n') else text end"
-    )
-    done = gone.withColumn("text", text).withColumn("removed", removed)
+    left = "array_except(sequence(0, size(lines) - 1), gone)"
+    text = f"if(size(gone) > 0, array_join(transform({left}, i -> lines[i]), '\\n'), text)"
+    done = step.withColumn("text", F.expr(text)).withColumn("removed", F.greatest(F.size("gone"), F.lit(0)))
     columns = []
     for name in docs.columns:
-        kept = F.col("dedup_row")[name]
-        if name == "text":
-            kept = F.col("text")
-        elif name == "n_chars":
+        kept = F.col("text") if name == "text" else F.col("dedup_row")[name]
+        if name == "n_chars":
             kept = F.when(F.col("removed") > 0, F.length("text")).otherwise(kept).cast(docs.schema[name].dataType)
         columns.append(kept.alias(name))
     return done.select(*columns, *([F.col("removed").alias(count)] if count else []))
