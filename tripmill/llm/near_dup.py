@@ -10,8 +10,9 @@ full shingle sets.
 Buckets may be very large, so pairs are never listed within one. First every member
 is paired with the smallest one only; the confirmed links form components. Then just
 the buckets that still hold several components are searched for links between them:
-small ones by a join, large ones in blocks inside tasks, where sketches are compared
-as bit operations and only surviving pairs leave the task.
+small ones by a join, large ones in blocks inside tasks, where the documents outside
+the bucket's main component are compared with all others, first by their sketches. Of
+the links found, a task sends on no more than join its components.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from tripmill.llm.common import WordHashes, byte_texts, saved, shingle_hashes, words
 from tripmill.llm.components import components
 
+FEW = 16  # members up to which all pairs of a bucket are joined
 SIGNATURE = "doc_id long, digest binary, n_shingles long, sketch array<long>, bands array<long>"
 
 
@@ -39,7 +41,7 @@ class NearDuplicates:
     A pair at similarity s is missed with probability (1 - s^rows)^bands: at 0.8, with
     40 bands of 4 samples, 7e-10. ``slack`` is how far below the threshold a sketch
     estimate may lie: with 0.3 a pair at 0.8 is lost with probability 4e-8. ``block`` bounds how
-    many documents a task compares with as many others at a time.
+    many documents a task compares with four times as many others at a time.
     """
 
     shingle: int = 5
@@ -48,7 +50,7 @@ class NearDuplicates:
     rows: int = 4
     sketch_bits: int = 512
     slack: float = 0.3
-    block: int = 256
+    block: int = 512
     seed: int = 20240607
 
     @property
@@ -142,22 +144,40 @@ def _confirmed(p: NearDuplicates):
     return run
 
 
-def _open_pairs(p: NearDuplicates):
-    """Candidate pairs of a block pair that lie in different components."""
+def _open_links(p: NearDuplicates):
+    """Links between documents of the two sides that lie in different components.
+
+    A pair that shares several buckets is looked at in its first one. Of the links of a
+    document to one component a single one is sent on.
+    """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        first, i, j = rows["part"].to_numpy(), int(rows["i"].iloc[0]), int(rows["j"].iloc[0])
-        ids, sizes, comp = (rows[c].to_numpy() for c in ("id", "n", "comp"))
-        bits = np.stack(rows["sketch"].to_list()).astype(np.int64).view(np.uint64)
-        left, right = np.flatnonzero(first == i), np.flatnonzero(first == j)
-        found = []
-        for x in left:
-            y = right[right > x] if i == j else right
-            y = y[comp[y] != comp[x]]
+        side, ids, sizes, comp = (rows[c].to_numpy() for c in ("side", "id", "n", "comp"))
+        bits, bands = (np.stack(rows[c].to_list()).astype(np.int64) for c in ("sketch", "bands"))
+        bits, band, hashes, sets = bits.view(np.uint64), int(rows["band"].iloc[0]), WordHashes(), {}
+
+        def shingles(k: int) -> np.ndarray:
+            if k not in sets:
+                sets[k] = np.unique(shingle_hashes(hashes.of(words(rows["text"].iloc[k].encode())), p.shingle))
+            return sets[k]
+
+        right, found = np.flatnonzero(side == 1), []
+        for x in np.flatnonzero(side == 0).tolist():
+            y = right[comp[right] != comp[x]]
             small, large = np.minimum(sizes[x], sizes[y]), np.maximum(sizes[x], sizes[y])
             y = y[100 * small >= p.similarity * large]
-            apart = np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1)
-            found += [(min(ids[x], ids[k]), max(ids[x], ids[k])) for k in y[apart <= p.most_bits]]
+            y = y[np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1) <= p.most_bits]
+            y = y[(bands[y] == bands[x]).argmax(axis=1) == band]
+            if not len(y):
+                continue
+            own, others = shingles(x), [shingles(k) for k in y.tolist()]
+            flat = np.concatenate(others)
+            met = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
+            starts = np.cumsum([0] + [len(o) for o in others[:-1]])
+            both = np.add.reduceat(met.astype(np.int64), starts)
+            y = y[100 * both >= p.similarity * (sizes[x] + sizes[y] - both)]
+            _, one = np.unique(comp[y], return_index=True)
+            found += [(min(ids[x], ids[k]), max(ids[x], ids[k])) for k in y[one]]
         return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
     return run
@@ -185,12 +205,12 @@ def near_duplicates(docs: DataFrame, p: NearDuplicates = NearDuplicates()) -> Da
         .dropDuplicates(["id", "n", "sketch"])
     )
     entries = heads.select("id", F.posexplode("bands").alias("band", "value")).select(
-        F.xxhash64("band", "value").alias("bucket"), "id"
+        F.xxhash64("band", "value").alias("bucket"), "band", "id"
     )
     buckets = entries.groupBy("bucket").agg(F.min("id").alias("least"), F.max("id").alias("most"))
     shared = saved(
         entries.join(buckets.filter("least <> most").select(F.col("bucket").alias("full"), "least"), F.expr("bucket = full"))
-        .select("bucket", "id", "least")
+        .select("bucket", "band", "id", "least")
     )
 
     facts = heads.select("id", "n", "sketch")
@@ -225,35 +245,43 @@ def near_duplicates(docs: DataFrame, p: NearDuplicates = NearDuplicates()) -> Da
     label = components(links)
 
     # what the stars leave open: buckets that still hold several components
-    placed = shared.select("bucket", "id").join(label.withColumnRenamed("id", "node"), F.expr("id = node"), "left")
-    placed = placed.select("bucket", "id", F.coalesce("component_id", "id").alias("comp"))
-    state = placed.groupBy("bucket").agg(
-        F.count("*").alias("members"), F.min("comp").alias("low"), F.max("comp").alias("high")
+    placed = shared.join(label.withColumnRenamed("id", "node"), F.expr("id = node"), "left")
+    placed = placed.select("bucket", "band", "id", F.coalesce("component_id", "id").alias("comp"))
+    parties = placed.groupBy("bucket", "comp").agg(F.count("*").alias("size"))
+    state = parties.groupBy(F.col("bucket").alias("open")).agg(
+        F.sum("size").alias("members"), F.max(F.struct("size", "comp")).alias("major"), F.count("*").alias("parties")
     )
-    state = state.filter("low <> high").select(F.col("bucket").alias("open"), "members")
-    rest = saved(placed.join(state, F.expr("bucket = open")).select("bucket", "id", "comp", "members"))
-    small = rest.filter(F.col("members") <= 16)
+    state = state.filter("parties > 1").select(
+        "open", "members", F.col("major.comp").alias("main"), F.expr("members - major.size").alias("others")
+    )
+    rest = saved(placed.join(state, F.expr("bucket = open")).drop("open"))
+    small = rest.filter(f"members <= {FEW}")
     other = small.select(F.col("bucket").alias("bucket_b"), F.col("id").alias("b"), F.col("comp").alias("comp_b"))
-    few = (
-        small.select("bucket", F.col("id").alias("a"), "comp")
-        .join(other, F.expr("bucket = bucket_b and a < b and comp <> comp_b"))
-        .select("a", "b")
-        .distinct()
+    few = small.select("bucket", F.col("id").alias("a"), "comp").join(
+        other, F.expr("bucket = bucket_b and a < b and comp <> comp_b")
     )
-    parts = F.ceil(F.col("members") / p.block).cast("int")
+    # documents outside the bucket's main component, against all: rows grow with its members, not their pairs
     large = (
-        rest.filter(F.col("members") > 16)
-        .withColumn("parts", parts)
-        .withColumn("part", F.expr("cast(pmod(xxhash64(id), parts) as int)"))
-        .join(facts.withColumnRenamed("id", "node"), F.expr("id = node"))
-        .withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
-        .select(
-            "bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
-            "part", "id", "n", "comp", "sketch",
-        )
+        rest.filter(f"members > {FEW}")
+        .withColumn("i_parts", F.ceil(F.col("others") / p.block).cast("int"))
+        .withColumn("j_parts", F.ceil(F.col("members") / (4 * p.block)).cast("int"))
+    )
+    left = (
+        large.filter("comp <> main")
+        .withColumns({"side": F.lit(0), "i": F.expr("cast(pmod(xxhash64(id), i_parts) as int)")})
+        .withColumn("j", F.explode(F.expr("sequence(0, j_parts - 1)")))
+    )
+    right = large.withColumns({"side": F.lit(1), "j": F.expr("cast(pmod(xxhash64(id, 1), j_parts) as int)")}).withColumn(
+        "i", F.explode(F.expr("sequence(0, i_parts - 1)"))
+    )
+    columns = ["bucket", "band", "i", "j", "side", "id", "comp"]
+    contents = heads.select(F.col("id").alias("node"), "n", "sketch", "bands").join(
+        texts.select(F.col("doc_id").alias("of"), "text"), F.expr("node = of")
     )
-    many = large.groupBy("bucket", "i", "j").applyInPandas(_open_pairs(p), "a long, b long").distinct()
-    late = confirmed(near(few).union(many).distinct())
+    sides = left.select(*columns).union(right.select(*columns)).join(contents, F.expr("id = node"))
+    sides = sides.select(*columns, "n", "sketch", "bands", "text").groupBy("bucket", "i", "j")
+    many = sides.applyInPandas(_open_links(p), "a long, b long")
+    late = confirmed(near(few.select("a", "b").distinct()).union(many).distinct())
     label = components(links.union(late))
 
     found = member.join(label.withColumnRenamed("id", "node"), F.expr("rep = node"), "left")
