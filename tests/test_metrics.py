@@ -37,8 +37,20 @@ def test_ratio_of_totals_guards_zero(spark):
     assert one(df.where("b = 0"), M.ratio_of_totals("a", "b")) is None
 
 
+def test_small_values_and_large_sums_are_kept(spark):
+    small = spark.range(100_000).select(F.lit(0.00004).alias("v"))
+    assert one(small, M.total("v")) == 4.0
+    large = spark.createDataFrame([(5e14,), (5e14,), (0.25,)], "v double")
+    assert one(large, M.total("v")) == 1e15 + 0.25
+    assert one(large, M.mean("v", 2)) == pytest.approx(1e15 / 3, abs=0.5)
+    mixed = spark.createDataFrame([(1.23456789,), (-0.23456789,), (2.5,), (None,), (-7.0,)], "v double")
+    assert one(mixed, M.total("v", 8)) == -3.5
+    fast = spark.range(1000).select(F.lit(8.9e10).alias("v"))
+    assert one(fast, M.total("v")) == 8.9e13
+
+
 def test_a_sum_past_the_range_raises(spark):
-    df = spark.createDataFrame([(9e14,), (9e14,)], "v double")
+    df = spark.createDataFrame([(9e24,), (9e24,)], "v double")
     with pytest.raises(PySparkException):
         one(df, M.total("v"))
 

@@ -1,27 +1,51 @@
 """Aggregate expressions and the named metric registry.
 
-Sums run over fixed-point longs instead of doubles: addition is then exact and
-does not depend on the order in which tasks finish or are retried, and a long
-buffer stays on the fast path of hash aggregation where a wide decimal would
-not. A sum past the range of a long raises under ANSI mode; it never wraps.
+Sums are exact: a double counts as its shortest decimal text, to twelve digits after
+the point. Addition then does not depend on the order in which tasks finish or are
+retried. Values of up to four digits after the point, which is nearly all money, are
+added as two longs, which stay on the fast path of hash aggregation; others as wide
+decimals. A sum past 10^25 raises under ANSI mode; it never wraps.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
 from tripmill.functions.scalars import as_column
 
-DIGITS_KEPT = 4
-UNIT = float(10**DIGITS_KEPT)
+UNIT = 10_000  # the fast path counts ten-thousandths
+CARRY = 1_000_000  # and splits the count, so that neither half can overflow a long
+FAST_BELOW = 9e10
+WIDE = "decimal(37, 12)"
 
 
-def fixed_point(value: Column | str) -> Column:
-    """A double as a count of ten-thousandths."""
-    return F.rint(as_column(value) * F.lit(UNIT)).cast("bigint")
+def exact_sum(value: Column | str, window: WindowSpec | None = None) -> Column:
+    """The sum as a decimal with twelve digits after the point; NULL without known values."""
+    value = as_column(value)
+    plain = value.cast("double")
+    units = F.rint(plain * F.lit(float(UNIT)))
+    fast = (F.abs(plain) < F.lit(FAST_BELOW)) & (units / F.lit(float(UNIT)) == plain)
+    count = F.when(fast, units.cast("bigint"))
+
+    def summed(part: Column) -> Column:
+        return F.sum(part) if window is None else F.sum(part).over(window)
+
+    high = summed(F.floor(count / F.lit(CARRY)))
+    low = summed(F.pmod(count, F.lit(CARRY)))
+    rest = summed(F.when(value.isNotNull() & ~fast, value.cast(WIDE)))
+    whole = high.cast("decimal(20, 0)") * F.lit(CARRY).cast("decimal(7, 0)") + low.cast("decimal(20, 0)")
+    narrow = (whole * F.lit("0.0001").cast("decimal(5, 4)")).cast(WIDE)
+    zero = F.lit(0).cast(WIDE)
+    both = F.coalesce(narrow, zero) + F.coalesce(rest.cast(WIDE), zero)
+    return F.when(high.isNotNull() | rest.isNotNull(), both)
+
+
+def _units(total: Column) -> Column:
+    """A sum in ten-thousandths as a double: for money a whole number, so that one division after it is exact."""
+    return (total * F.lit(UNIT)).cast("double")
 
 
 def rows() -> Column:
@@ -29,13 +53,13 @@ def rows() -> Column:
 
 
 def total(value: Column | str, digits: int = 2) -> Column:
-    return F.round(F.sum(fixed_point(value)) / F.lit(UNIT), digits)
+    return F.round(exact_sum(value), digits).cast("double")
 
 
 def mean(value: Column | str, digits: int) -> Column:
     """Mean over known values; NULL for a group without any."""
     value = as_column(value)
-    return F.round(F.sum(fixed_point(value)) / (F.nullif(F.count(value), F.lit(0)) * F.lit(UNIT)), digits)
+    return F.round(_units(exact_sum(value)) / (F.nullif(F.count(value), F.lit(0)) * F.lit(float(UNIT))), digits)
 
 
 def whole_total(value: Column | str) -> Column:
@@ -52,11 +76,11 @@ def distinct_count(value: Column | str) -> Column:
 
 def ratio_of_totals(top: Column | str, bottom: Column | str, digits: int = 2) -> Column:
     """Quotient of two sums; NULL when the lower sum is zero."""
-    return F.round(F.sum(fixed_point(top)) / F.nullif(F.sum(fixed_point(bottom)), F.lit(0)), digits)
+    return F.round(_units(exact_sum(top)) / F.nullif(_units(exact_sum(bottom)), F.lit(0.0)), digits)
 
 
-def running_exact(value: Column | str, window, digits: int = 2) -> Column:
-    return F.round(F.sum(fixed_point(value)).over(window) / F.lit(UNIT), digits)
+def running_exact(value: Column | str, window: WindowSpec, digits: int = 2) -> Column:
+    return F.round(exact_sum(value, window), digits).cast("double")
 
 
 def band_counts(value: Column | str, edges: Sequence[float], names: Sequence[str]) -> list[Column]:
