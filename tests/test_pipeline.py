@@ -268,3 +268,65 @@ def test_lake_without_any_accepted_trip_still_builds(spark, lake, bronze):
     tables = P.build_gold(spark, lake, TS, "2024-06-15")
     assert tables["fact_trips"].count() == 0
     assert tables["dim_date"].count() == 366
+
+
+def test_columns_nobody_declared_reach_silver_and_quarantine(spark, lake, bronze):
+    trips = january(bronze).withColumn("congestion_surcharge", F.lit(2.5))
+    L.land_month(trips, lake.bronze, "2024", "01")
+    L.land_month(february(bronze), lake.bronze, "2024", "02")
+    for month in ("2024-01", "2024-02"):
+        P.run_silver(spark, lake, month, "incremental", TS)
+    for path in (lake.silver, lake.quarantine):
+        rows = P.read(spark, lake, path).groupBy("source_month").agg(F.max("congestion_surcharge").alias("x")).collect()
+        assert {(r.source_month, r.x) for r in rows} <= {("2024-01", 2.5), ("2024-02", None)}
+        assert ("2024-01", 2.5) in {(r.source_month, r.x) for r in rows}
+
+
+def test_a_month_landed_both_ways_is_read_once(spark, lake, bronze):
+    L.land_months(january(bronze).withColumn("source_month", F.lit("2024-01")), lake.bronze)
+    assert L.land_month(january(bronze), lake.bronze, "2024", "01") == 4
+    assert read_bronze(spark, lake.bronze, "all", TS).count() == 4
+
+
+def test_types_that_drift_between_months_run_together(spark, lake, bronze):
+    L.land_month(january(bronze), lake.bronze, "2024", "01")
+    L.land_month(february(bronze).withColumn("passenger_count", F.col("passenger_count").cast("double")), lake.bronze, "2024", "02")
+    P.run_silver(spark, lake, mode="full", run_ts=TS)
+    assert silver(spark, lake) == EXPECTED
+
+
+@pytest.mark.parametrize("fail_at", range(1, 6))
+def test_a_run_that_fails_after_any_write_is_repaired_by_the_next(spark, lake, bronze, monkeypatch, fail_at):
+    L.land_month(bronze(at(1, 5), at(3, 1)), lake.bronze, "2024", "01")
+    P.run_silver(spark, lake, "2024-01", "incremental", TS)
+    L.land_month(bronze(at(1, 5)), lake.bronze, "2024", "01")
+    done = []
+
+    def counted(write):
+        def run(*args, **kwargs):
+            if len(done) == fail_at:
+                raise RuntimeError("lost")
+            done.append(1)
+            return write(*args, **kwargs)
+
+        return run
+
+    with monkeypatch.context() as patch:
+        for name in ("write_leaf", "write_partitions", "clear_leaf", "append_record"):
+            patch.setattr(P.K, name, counted(getattr(P.K, name)))
+        try:
+            P.run_silver(spark, lake, "2024-01", "incremental", TS)
+        except RuntimeError:
+            pass
+    P.run_silver(spark, lake, "2024-01", "incremental", TS)
+    assert silver(spark, lake) == [("2024-01", "2024-01", 5, 3.0)]
+
+
+def test_the_survivor_of_a_tie_is_the_same_after_another_landing(spark, lake, bronze):
+    trips = bronze(*[{**at(1, 5), "tip_amount": float(k), "extra": float(k % 3)} for k in range(40)])
+    found = set()
+    for ts in ("2024-06-15T06:00:00", "2024-07-01T06:00:00"):
+        L.land_month(trips.repartition(3), lake.bronze, "2024", "01")
+        P.run_silver(spark, lake, mode="full", run_ts=ts)
+        found |= {r.tip_amount for r in P.read(spark, lake, lake.silver).collect()}
+    assert len(found) == 1

@@ -96,9 +96,17 @@ def relationship_checks(child: DataFrame, checks: list[Check], parents: Mapping[
     """All foreign keys of one table in a single pass over it.
 
     Each row yields its known keys tagged with their check; counting them before
-    the join leaves one row per distinct key. Keys are compared as text.
+    the join leaves one row per distinct key. Keys are compared in the parent's type;
+    one that the type cannot hold stands as it is, and so has no parent.
     """
-    tagged = [F.struct(F.lit(i).alias("fk"), F.col(c.column).cast("string").alias("key")) for i, c in enumerate(checks)]
+
+    def key(c: Check) -> Column:
+        value = F.col(c.column)
+        fitted = value.try_cast(parents[c.parent].schema[c.parent_column].dataType)
+        same = fitted.try_cast(child.schema[c.column].dataType) == value
+        return F.when(same, fitted.cast("string")).otherwise(value.cast("string"))
+
+    tagged = [F.struct(F.lit(i).alias("fk"), key(c).alias("key")) for i, c in enumerate(checks)]
     keys = (
         child.select(F.inline(F.array(*tagged)))
         .where(F.col("key").isNotNull())

@@ -109,20 +109,36 @@ def table_schemas(spark: SparkSession) -> dict[str, StructType]:
     return {**{name: frame.schema for name, frame in frames.items()}, "silver/run_log": RUN_LOG}
 
 
+#: Tables that also hold whatever further columns Bronze has.
+OPEN_TABLES = ("silver/trips", "silver/rejected")
+
+
 def read(spark: SparkSession, lake: Lake, path: str) -> DataFrame:
     reader = spark.read.format(lake.fmt)
-    known = table_schemas(spark).get(path.removeprefix(f"{lake.root}/"))
+    name = path.removeprefix(f"{lake.root}/")
+    known = table_schemas(spark).get(name)
     if known is not None and lake.fmt == K.FORMAT:
+        if name in OPEN_TABLES and _exists(spark, lake, path):
+            found = _found_schema(spark, path)
+            known = StructType([*known.fields, *[f for f in found.fields if f.name not in known.names]])
         reader = reader.schema(known)
     return reader.load(path)
 
 
-def _exists(spark: SparkSession, lake: Lake, path: str) -> bool:
+def _found_schema(spark: SparkSession, path: str) -> StructType:
+    """All columns of a table's files, from their footers; none for a table without files."""
     try:
-        read(spark, lake, path)
-    except AnalysisException:
-        return False
-    return True
+        return spark.read.option("mergeSchema", "true").parquet(path).schema
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return StructType([])
+
+
+def _exists(spark: SparkSession, lake: Lake, path: str) -> bool:
+    """Whether the table's folder is there; any other trouble is an error."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
 def with_pickup_partition(trips: DataFrame) -> DataFrame:
@@ -209,17 +225,29 @@ def _months(rows: DataFrame, column: str) -> set[str]:
 
 
 def _run_month(spark, lake, zones, month, mode, run_ts, year) -> dict:
+    """One month into the tables that are there.
+
+    Coverage is written last, and the partitions to rebuild are also asked of Silver
+    itself: whichever write a run fails after, running it again finds all partitions
+    that the month touches or used to touch.
+    """
     bronze = read_bronze(spark, lake.bronze, month, run_ts)
     tagged = tag_trips(bronze, year)
     of_month = F.col("source_month") == month
-    known = _exists(spark, lake, lake.coverage)
-    before = _months(read(spark, lake, lake.coverage).where(of_month), "pickup_year_month") if known else set()
+    before: set[str] = set()
+    for path in (lake.coverage, lake.silver):
+        if _exists(spark, lake, path):
+            before |= _months(read(spark, lake, path).where(of_month), "pickup_year_month")
 
     K.write_leaf(rejected(tagged), lake.quarantine, "source_month", month, lake.fmt)
-    K.write_leaf(coverage_of(tagged).coalesce(1), lake.coverage, "source_month", month, lake.fmt)
 
-    coverage = read(spark, lake, lake.coverage)
-    touched = sorted(before | _months(coverage.where(of_month), "pickup_year_month"))
+    # one row a pickup month: bounded by the calendar
+    own = coverage_of(tagged).collect()
+    mine = spark.createDataFrame(own, table_schemas(spark)["silver/coverage"])
+    coverage = mine
+    if _exists(spark, lake, lake.coverage):
+        coverage = read(spark, lake, lake.coverage).where(~of_month).select(*mine.columns).union(mine)
+    touched = sorted(before | {r.pickup_year_month for r in own})
     holders = coverage.where(F.col("pickup_year_month").isin(touched))
     sources, filled = _months(holders, "source_month"), _months(holders, "pickup_year_month")
 
@@ -230,6 +258,7 @@ def _run_month(spark, lake, zones, month, mode, run_ts, year) -> dict:
         _write_silver(silver, lake, "touched")
     for empty in sorted(set(touched) - filled):  # had rows before, has none now
         K.clear_leaf(spark, table_schemas(spark)["silver/trips"], lake.silver, "pickup_year_month", empty, lake.fmt)
+    K.write_leaf(mine.coalesce(1), lake.coverage, "source_month", month, lake.fmt)
 
     raw = bronze.count()
     bad = read(spark, lake, lake.quarantine).where(of_month).count()

@@ -24,6 +24,8 @@ UNKNOWN_PAYMENT = "unknown"
 YEAR = 2024
 MAX_SPEED_MPH = 100
 TRIP_KEYS = ["pickup_datetime", "dropoff_datetime", "PULocationID", "DOLocationID", "fare_amount"]
+# what says where a row came from rather than what the trip was
+LINEAGE = ["source_file", "source_month", "ingested_at", "trip_file"]
 COST_PARTS = ["fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge"]
 ZONE_COLUMNS = {"Borough": "borough", "Zone": "zone", "service_zone": "service_zone"}
 
@@ -67,8 +69,13 @@ def tag_trips(bronze: DataFrame, year: int = YEAR) -> DataFrame:
 
 
 def dedup_trips(trips: DataFrame) -> DataFrame:
-    """The earliest submission of each trip."""
-    return keep_first(trips, TRIP_KEYS, ["source_month"])
+    """The earliest submission of each trip.
+
+    Ties within a month are settled by the trip's own columns alone, so that neither
+    landing a file again nor another ingest time changes the survivor.
+    """
+    own = sorted(c for c in trips.columns if c not in LINEAGE and c not in TRIP_KEYS)
+    return keep_first(trips, TRIP_KEYS, ["source_month"], [F.xxhash64(*own)] if own else [])
 
 
 def derive_trips(trips: DataFrame) -> DataFrame:

@@ -20,20 +20,24 @@ def landed_rows(spark: SparkSession, root: str, months: str | list[str]) -> int:
 def land_month(df: DataFrame, root: str, year: str, month: str) -> int:
     """Copies one month unchanged into Bronze and returns the rows copied.
 
-    Rows are counted in what was written: an accumulator could count a task
+    The folder is the one that ``land_months`` uses, so a month landed both ways is
+    there once. Rows are counted in what was written: an accumulator could count a task
     twice when an executor is lost.
     """
     name = f"{year}-{month}"
-    require_columns(df, BRONZE_TRIPS).write.mode("overwrite").parquet(f"{root}/{trip_file(name)}")
+    require_columns(df, BRONZE_TRIPS).write.mode("overwrite").parquet(f"{root}/trip_file={trip_file(name)}")
     return landed_rows(df.sparkSession, root, name)
 
 
 def land_months(df: DataFrame, root: str, month_column: str = "source_month") -> None:
-    """Lands every month of a frame in one job, replacing the months it holds."""
+    """Lands every month of a frame in one job, replacing the months it holds.
+
+    Columns that nobody declared land as well; only the month column becomes the name.
+    """
     head, tail = TRIP_FILE.split("{month}")
     named = df.withColumn("trip_file", F.concat(F.lit(head), F.col(month_column), F.lit(tail)))
     (
-        balanced(named.select(*BRONZE_TRIPS.names, "trip_file"), ["trip_file"])
+        balanced(require_columns(named, BRONZE_TRIPS).drop(month_column), ["trip_file"])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("trip_file")

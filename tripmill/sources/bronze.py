@@ -57,6 +57,22 @@ def with_lineage(df: DataFrame, run_ts: str) -> DataFrame:
     )
 
 
+def _file_schemas(spark: SparkSession, paths: list[str]) -> list[tuple[StructType, list[str]]]:
+    """Month paths by the schema in their footers: one footer a month is read."""
+    context = spark.sparkContext
+    found: dict[str, tuple[StructType, list[str]]] = {}
+    for pattern in paths:
+        glob = context._jvm.org.apache.hadoop.fs.Path(pattern)
+        matches = glob.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(glob)
+        months = sorted(m.getPath().toString() for m in matches or [])
+        if not months:  # a plain read gives the usual error
+            return [(spark.read.parquet(pattern).schema, [pattern])]
+        for month in months:
+            schema = spark.read.parquet(month).schema
+            found.setdefault(schema.json(), (schema, []))[1].append(month)
+    return list(found.values())
+
+
 def read_bronze(
     spark: SparkSession,
     root: str,
@@ -66,15 +82,22 @@ def read_bronze(
 ) -> DataFrame:
     """Monthly trip files with lineage.
 
-    The declared schema is applied at the scan. Give ``schema=None`` for files
-    whose types drifted: their footers are merged and then aligned.
+    Columns of ``schema`` come first and with its types; columns that only the files
+    have are kept behind them. Types may drift from month to month: months are read by
+    schema, each fitted to the declared one, and brought together by name. ``None``
+    stands for the declared schema as well.
     """
-    reader = spark.read
-    paths = month_paths(root, months)
-    if schema is not None:
-        return with_lineage(reader.schema(schema).parquet(*paths), run_ts)
-    raw = with_lineage(reader.option("mergeSchema", "true").parquet(*paths), run_ts)
-    return align_schema(raw, BRONZE_TRIPS)
+    target = schema or BRONZE_TRIPS
+    frames = []
+    for found, paths in _file_schemas(spark, month_paths(root, months)):
+        raw = with_lineage(spark.read.schema(found).parquet(*paths).drop("trip_file"), run_ts)
+        frames.append(align_schema(raw, target))
+    whole = frames[0]
+    for frame in frames[1:]:
+        whole = whole.unionByName(frame, allowMissingColumns=True)
+    lineage = ["source_file", "source_month", "ingested_at"]
+    extra = [c for c in whole.columns if c not in target.names and c not in lineage]
+    return whole.select(*target.names, *extra, *lineage)
 
 
 def read_lookup(spark: SparkSession, path: str) -> DataFrame:

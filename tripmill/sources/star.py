@@ -51,19 +51,9 @@ def bridge_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _orders_near(orders: DataFrame, pickup_year: int) -> DataFrame:
-    first = f"{pickup_year - YEARS_MOVED - 1}-12-31"
-    after = f"{pickup_year - YEARS_MOVED + 1}-01-01"
-    return orders.where(
-        f"""o_orderdate >= timestamp_ntz'{first}' and o_orderdate < timestamp_ntz'{after}'
-            or o_orderdate is null"""
-    )
-
-
 def bridge_trips(
     spark: SparkSession,
     sf_dir: str,
-    pickup_year: int | None = None,
     lineitem: DataFrame | None = None,
 ) -> DataFrame:
     """Bronze-shaped trips over lineitem, orders, customer and supplier.
@@ -74,18 +64,10 @@ def bridge_trips(
     Orders meet their customers before they meet the lines, so that the largest
     table is shuffled on as few keys, and as late, as possible.
 
-    ``pickup_year`` states that the caller rejects other pickup years anyway.
-    A pickup falls within a day of its order date, so the year implies a range
-    of order dates that reaches the parquet scan and shrinks the joins. The
-    caller's own year rule still decides about every row; orders without a date
-    are kept for it to judge.
-
     ``lineitem`` may be a streaming read of that table.
     """
     lineitem = table(spark, sf_dir, "lineitem") if lineitem is None else lineitem
     orders = table(spark, sf_dir, "orders")
-    if pickup_year is not None:
-        orders = _orders_near(orders, pickup_year)
     placed = orders.join(table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
     return (
         lineitem.join(placed, F.expr("l_orderkey = o_orderkey"))
