@@ -2,7 +2,7 @@
 
 The SQL is independent of the Spark code: it repeats the intent, in one text per
 query, over the same tables. Doubles are rounded on their shortest decimal text
-(halves away from zero), and money is summed as decimals.
+(halves away from zero), and money is summed as decimals of full precision.
 """
 
 from __future__ import annotations
@@ -16,13 +16,17 @@ def rnd(expr: str, digits: int) -> str:
     return f"cast(round(cast(cast({expr} as varchar) as decimal(38, 18)), {digits}) as double)"
 
 
+def exact(expr: str) -> str:
+    return f"cast(cast({expr} as varchar) as decimal(38, 12))"
+
+
 def total(expr: str, digits: int = 2, over: str = "") -> str:
-    return f"cast(round(sum(cast({expr} as decimal(18, 4))) {over}, {digits}) as double)"
+    return f"cast(round(sum({exact(expr)}) {over}, {digits}) as double)"
 
 
 def units(expr: str) -> str:
-    """The sum in whole ten-thousandths, as a double: the one division after it is then exact to the last bit."""
-    return f"cast(sum(cast(round({expr} * 10000) as bigint)) as double)"
+    """The sum in ten-thousandths, as a double: whole for money, and the one division after it then exact to the last bit."""
+    return f"cast(sum({exact(expr)}) * 10000 as double)"
 
 
 def mean(expr: str, digits: int) -> str:
@@ -764,8 +768,24 @@ from streamed group by all""",
 )
 ORACLES["stream_hourly_events"] = f"""
 select date_trunc('hour', ts) as hour_start, event_type, count(*) as event_count, {total("value")} as total_value
-from events
-where date_trunc('hour', ts) + interval 1 hour
-      <= (select date_trunc('milliseconds', max(ts)) - interval 1 hour from events)
-group by all"""
+from events group by all"""
 ORACLES["stream_dedup_keys"] = over(TO_TAGGED, f"select distinct {KEYS} from tagged where reject_reason is null")
+
+ORACLES["bronze_extra_columns"] = over(
+    TO_SILVER,
+    f"""
+select 'quarantine' as part, source_month, count(*) as row_count, {total("VendorID * 2.5::double")} as surcharge
+from tagged where reject_reason is not null group by all
+union all
+select 'silver' as part, source_month, count(*) as row_count, {total("VendorID * 2.5::double")} as surcharge
+from silver group by all""",
+)
+ORACLES["landed_twice"] = over(
+    [BRIDGE],
+    """
+select '2024-03' as target_month, count(*) as rows_copied, 'Succeeded' as status, count(*) as rows_read
+from trips where source_month = '2024-03'""",
+)
+ORACLES["sum_small_values"] = f"""
+select l_returnflag, {total("l_tax / 1000", 6)} as total_tiny, {mean("l_tax / 1000", 9)} as mean_tiny
+from lineitem group by all"""

@@ -74,7 +74,7 @@ def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
 @view
 def _accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips that pass the rules; the year rule also narrows the scan."""
-    return R.accepted(V.tag_trips(_with_file(star.bridge_trips(spark, sf_dir, pickup_year=V.YEAR))))
+    return R.accepted(V.tag_trips(_with_file(star.bridge_trips(spark, sf_dir))))
 
 
 @view
@@ -592,6 +592,41 @@ def bronze_lineage(spark, sf_dir):
     )
 
 
+@query
+def bronze_extra_columns(spark, sf_dir):
+    """A column nobody declared, through landing, rejection and deduplication, to Silver and quarantine."""
+    lake = P.Lake(fresh_folder(spark, "lake"))
+    trips = star.bridge_trips(spark, sf_dir)
+    L.land_months(trips.withColumn("congestion_surcharge", F.col("VendorID") * 2.5), lake.bronze)
+    L.land_lookup(star.bridge_zones(spark, sf_dir), lake.lookup)
+    P.run_silver(spark, lake, mode="full", run_ts=RUN_TS)
+    parts = [("silver", lake.silver), ("quarantine", lake.quarantine)]
+    found = [P.read(spark, lake, path).select(F.lit(name).alias("part"), "source_month", "congestion_surcharge") for name, path in parts]
+    return found[0].union(found[1]).groupBy("part", "source_month").agg(
+        M.rows().alias("row_count"), M.total("congestion_surcharge").alias("surcharge")
+    )
+
+
+@query
+def landed_twice(spark, sf_dir):
+    """One month landed by both ways: its count on landing, its rows on reading and the ingest log."""
+    lake = P.Lake(fresh_folder(spark, "lake"))
+    trips = star.bridge_trips(spark, sf_dir)
+    L.land_months(trips, lake.bronze)
+    copied = L.land_month(trips.where("source_month = '2024-03'").drop("source_month"), lake.bronze, "2024", "03")
+    log = f"{lake.root}/ingest_log"
+    L.log_ingest(spark, log, "2024-03", copied, "run-1")
+    read_back = read_bronze(spark, lake.bronze, "2024-03", RUN_TS).agg(M.rows().alias("rows_read"))
+    return spark.read.parquet(log).select("target_month", "rows_copied", "status").join(read_back)
+
+
+@query
+def sum_small_values(spark, sf_dir):
+    """Totals of values far below a cent."""
+    lines = star.table(spark, sf_dir, "lineitem").withColumn("tiny", F.col("l_tax") / 1000)
+    return lines.groupBy("l_returnflag").agg(M.total("tiny", 6).alias("total_tiny"), M.mean("tiny", 9).alias("mean_tiny"))
+
+
 @query
 def medallion_run_log(spark, sf_dir):
     """Land, full Silver build, and the logged counts."""
@@ -673,7 +708,7 @@ def stream_clean_and_tag(spark, sf_dir):
 
 @query
 def stream_hourly_events(spark, sf_dir):
-    """Hour totals of the event stream; the hours the watermark has closed."""
+    """Hour totals of the event stream, open hours included."""
     schema = star.table(spark, sf_dir, "events").schema
     events = stream.stream_files(spark, f"{sf_dir}/events.parquet*", schema)
     totals = stream.hourly_totals(
@@ -684,14 +719,14 @@ def stream_hourly_events(spark, sf_dir):
         delay="1 hour",
     )
     out = fresh_folder(spark, "stream")
-    done = stream.run_available(totals, f"{out}/table", f"{out}/checkpoint")
+    done = stream.run_totals(totals, f"{out}/table", f"{out}/checkpoint", ["hour_start", "event_type"])
     return done.withColumn("hour_start", F.col("hour_start").cast("timestamp_ntz"))
 
 
 @query
 def stream_dedup_keys(spark, sf_dir):
     """Trip keys that survive streaming deduplication."""
-    trips = star.bridge_trips(spark, sf_dir, pickup_year=V.YEAR, lineitem=_lineitem_stream(spark, sf_dir))
+    trips = star.bridge_trips(spark, sf_dir, lineitem=_lineitem_stream(spark, sf_dir))
     clean = R.accepted(V.tag_trips(trips)).withColumn("at", F.col("pickup_datetime").cast("timestamp"))
     first = stream.first_arrivals(clean, V.TRIP_KEYS, at="at", spread=16).select(*V.TRIP_KEYS)
     out = fresh_folder(spark, "stream")

@@ -10,7 +10,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tripmill.plans.silver import TRIP_KEYS, YEAR, derive_trips, enrich_trips, tag_trips
 
@@ -29,9 +29,11 @@ def clean_and_tag(trips: DataFrame, zones: DataFrame, year: int = YEAR) -> DataF
 
 
 def hourly_totals(stream: DataFrame, at: str, keys: Sequence[str], metrics: Iterable[Column], delay: str) -> DataFrame:
-    """Totals per hour and key, published once the watermark has passed the hour.
+    """Totals per hour and key.
 
-    ``delay`` is how late a row may arrive; the state holds the hours within it.
+    ``delay`` is how late a row may arrive; the state holds the hours within it. In
+    append mode an hour is published once the watermark has passed it; with
+    ``run_totals`` open hours are published too, and corrected as rows arrive.
     """
     grouped = stream.withWatermark(at, delay).groupBy(F.window(at, "1 hour").alias("_hour"), *keys)
     return grouped.agg(*metrics).withColumn("hour_start", F.col("_hour.start")).drop("_hour")
@@ -72,3 +74,28 @@ def run_available(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     )
     query.awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
+
+
+def run_totals(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str]) -> DataFrame:
+    """Like ``run_available`` for totals: also hours still open when the source is drained.
+
+    Each batch writes the totals it changed to a folder of its own, which a repeated
+    batch replaces; the latest total of each key counts.
+    """
+
+    def publish(changed: DataFrame, batch: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+    query = (
+        stream.writeStream.outputMode("update")
+        .foreachBatch(publish)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    rest = [c for c in stream.columns if c not in keys]
+    schema = StructType([*stream.schema.fields, StructField("batch", LongType())])
+    written = stream.sparkSession.read.schema(schema).parquet(path)
+    latest = written.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_latest"))
+    return latest.select(*keys, *[F.col(f"_latest.{c}").alias(c) for c in rest])
