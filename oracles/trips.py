@@ -7,7 +7,31 @@ query, over the same tables. Doubles are rounded on their shortest decimal text
 
 from __future__ import annotations
 
-from tripmill.plans.gold import MAJOR_HUBS, US_HOLIDAYS
+# Fixed values, stated here once more so that the reference does not lean on the code under test:
+# federal holidays of 2024 and names of major zones.
+US_HOLIDAYS = [
+    "2024-01-01",
+    "2024-01-15",
+    "2024-02-19",
+    "2024-05-27",
+    "2024-06-19",
+    "2024-07-04",
+    "2024-09-02",
+    "2024-10-14",
+    "2024-11-11",
+    "2024-11-28",
+    "2024-12-25",
+]
+MAJOR_HUBS = [
+    "Times Sq/Theatre District",
+    "Midtown Center",
+    "Penn Station/Madison Sq West",
+    "Grand Central",
+    "Upper East Side North",
+    "Upper East Side South",
+    "JFK Airport",
+    "LaGuardia Airport",
+]
 
 ORACLES: dict[str, str] = {}
 

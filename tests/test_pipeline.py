@@ -330,3 +330,8 @@ def test_the_survivor_of_a_tie_is_the_same_after_another_landing(spark, lake, br
         P.run_silver(spark, lake, mode="full", run_ts=ts)
         found |= {r.tip_amount for r in P.read(spark, lake, lake.silver).collect()}
     assert len(found) == 1
+
+
+def test_gold_refuses_a_year_without_holidays(spark, lake):
+    with pytest.raises(ValueError, match="2025"):
+        P.build_gold(spark, lake, TS, "2025-01-01", 2025)

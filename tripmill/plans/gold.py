@@ -12,7 +12,7 @@ from tripmill.operators.enrich import star_join
 from tripmill.operators.schema import conform
 from tripmill.plans.silver import TRIP_KEYS
 
-# Federal holidays of 2024, borough groups, hub names, airport patterns.
+# Federal holidays of 2024 (other years are given by the caller), borough groups, hub names, airport patterns.
 US_HOLIDAYS = [
     "2024-01-01",
     "2024-01-15",
@@ -54,22 +54,44 @@ TIP_EDGES = [0, 15, 25]
 # --- staging ------------------------------------------------------------------
 
 
-def _same(names: str) -> dict[str, str]:
-    return {name: name for name in names.split()}
-
-
+# Column names as the tables have them.
 STAGING_COLUMNS = {
-    **_same("pickup_datetime dropoff_datetime pickup_date pickup_hour pickup_day_of_week pickup_month"),
-    **_same("pickup_year_month is_weekend"),
+    "pickup_datetime": "pickup_datetime",
+    "dropoff_datetime": "dropoff_datetime",
+    "pickup_date": "pickup_date",
+    "pickup_hour": "pickup_hour",
+    "pickup_day_of_week": "pickup_day_of_week",
+    "pickup_month": "pickup_month",
+    "pickup_year_month": "pickup_year_month",
+    "is_weekend": "is_weekend",
     "pickup_location_id": "cast(PULocationID as int)",
     "dropoff_location_id": "cast(DOLocationID as int)",
-    **_same("pickup_borough pickup_zone pickup_service_zone dropoff_borough dropoff_zone dropoff_service_zone"),
-    **_same("trip_distance trip_duration_min avg_speed_mph is_speed_outlier passenger_count"),
-    **_same("fare_amount extra mta_tax tip_amount tolls_amount improvement_surcharge total_cost tip_pct"),
-    **_same("payment_type payment_type_label"),
+    "pickup_borough": "pickup_borough",
+    "pickup_zone": "pickup_zone",
+    "pickup_service_zone": "pickup_service_zone",
+    "dropoff_borough": "dropoff_borough",
+    "dropoff_zone": "dropoff_zone",
+    "dropoff_service_zone": "dropoff_service_zone",
+    "trip_distance": "trip_distance",
+    "trip_duration_min": "trip_duration_min",
+    "avg_speed_mph": "avg_speed_mph",
+    "is_speed_outlier": "is_speed_outlier",
+    "passenger_count": "passenger_count",
+    "fare_amount": "fare_amount",
+    "extra": "extra",
+    "mta_tax": "mta_tax",
+    "tip_amount": "tip_amount",
+    "tolls_amount": "tolls_amount",
+    "improvement_surcharge": "improvement_surcharge",
+    "total_cost": "total_cost",
+    "tip_pct": "tip_pct",
+    "payment_type": "payment_type",
+    "payment_type_label": "payment_type_label",
     "vendor_id": "VendorID",
     "rate_code_id": "RatecodeID",
-    **_same("store_and_fwd_flag source_month source_file"),
+    "store_and_fwd_flag": "store_and_fwd_flag",
+    "source_month": "source_month",
+    "source_file": "source_file",
 }
 
 
@@ -135,13 +157,43 @@ def dim_zone(zones: DataFrame) -> DataFrame:
 
 
 FACT_COLUMNS = [
-    *"trip_id date_key pickup_location_id dropoff_location_id pickup_month pickup_year_month pickup_date".split(),
-    *"pickup_datetime dropoff_datetime pickup_hour pickup_day_of_week is_weekend".split(),
-    *"pickup_borough pickup_zone pickup_service_zone dropoff_borough dropoff_zone dropoff_service_zone".split(),
-    *"passenger_count trip_distance trip_duration_min avg_speed_mph".split(),
-    *"fare_amount extra mta_tax tip_amount tolls_amount improvement_surcharge total_cost tip_pct".split(),
-    *"payment_type_label rate_code_id vendor_id store_and_fwd_flag".split(),
-    *"is_cross_borough is_airport_trip source_month".split(),
+    "trip_id",
+    "date_key",
+    "pickup_location_id",
+    "dropoff_location_id",
+    "pickup_month",
+    "pickup_year_month",
+    "pickup_date",
+    "pickup_datetime",
+    "dropoff_datetime",
+    "pickup_hour",
+    "pickup_day_of_week",
+    "is_weekend",
+    "pickup_borough",
+    "pickup_zone",
+    "pickup_service_zone",
+    "dropoff_borough",
+    "dropoff_zone",
+    "dropoff_service_zone",
+    "passenger_count",
+    "trip_distance",
+    "trip_duration_min",
+    "avg_speed_mph",
+    "fare_amount",
+    "extra",
+    "mta_tax",
+    "tip_amount",
+    "tolls_amount",
+    "improvement_surcharge",
+    "total_cost",
+    "tip_pct",
+    "payment_type_label",
+    "rate_code_id",
+    "vendor_id",
+    "store_and_fwd_flag",
+    "is_cross_borough",
+    "is_airport_trip",
+    "source_month",
 ]
 
 
@@ -170,10 +222,16 @@ def stamped(df: DataFrame, name: str, at: str | None) -> DataFrame:
 
 
 def agg_hourly_zone(fact: DataFrame, at: str | None = None) -> DataFrame:
-    grain = (
-        "pickup_date pickup_month pickup_hour is_weekend pickup_location_id "
-        "pickup_borough pickup_zone pickup_service_zone"
-    ).split()
+    grain = [
+        "pickup_date",
+        "pickup_month",
+        "pickup_hour",
+        "is_weekend",
+        "pickup_location_id",
+        "pickup_borough",
+        "pickup_zone",
+        "pickup_service_zone",
+    ]
     columns = measures(
         {
             "trips": "total_trips",

@@ -279,14 +279,26 @@ def _in_months(trips: DataFrame, months: list[str]) -> DataFrame:
     return trips.where((raw >= first) & (raw < after))
 
 
-def build_gold(spark: SparkSession, lake: Lake, run_ts: str, as_of: str, year: int = YEAR) -> dict[str, DataFrame]:
-    """Dimensions, fact, then aggregates over the written fact; each a full replace."""
+def build_gold(
+    spark: SparkSession,
+    lake: Lake,
+    run_ts: str,
+    as_of: str,
+    year: int = YEAR,
+    holidays: list[str] = G.US_HOLIDAYS,
+) -> dict[str, DataFrame]:
+    """Dimensions, fact, then aggregates over the written fact; each a full replace.
+
+    ``holidays`` lists dates of the year as text; a list without any is refused.
+    """
+    if not any(day.startswith(f"{year}-") for day in holidays):
+        raise ValueError(f"no holidays are given for {year}")
     pin_session(spark)
     staging = G.staging_trips(read(spark, lake, lake.silver))
     K.publish_view(staging, "stg_silver_trips")
 
     spine = date_spine(spark, f"{year}-01-01", f"{year}-12-31")
-    K.write_table(G.dim_date(spine, as_of), lake.gold("dim_date"), lake.fmt)
+    K.write_table(G.dim_date(spine, as_of, holidays), lake.gold("dim_date"), lake.fmt)
     K.write_table(G.dim_zone(read(spark, lake, lake.zones)), lake.gold("dim_zone"), lake.fmt)
 
     facts = G.fact_trips(staging, run_ts)
