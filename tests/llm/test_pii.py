@@ -25,7 +25,7 @@ VALID = [
 ]
 INVALID = [
     str(int(card(1)) + 1).zfill(16), "256.1.1.1", "1.2.3.4.5", "2023-02-29", "32.12.1999", "000-12-1234", "01.2.3.4", "12345",
-    "version 1.2.3", "2024-13-01", "@home", "1799-12-31",
+    "version 1.2.3", "2024-13-01", "@home", "1799-12-31", f"a{card(1)}", f"{card(1)}f",
 ]
 P = Pseudonyms("k1")
 
