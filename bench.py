@@ -39,6 +39,9 @@ HEADLINE = [
     "shipdate_causality",
     "events_hourly_type",
     "segment_share",
+    "medallion_quality",
+    "layout_range",
+    "stream_hourly_events",
 ]
 
 

@@ -22,9 +22,6 @@ def local_session(cores: int | str = 8, app: str = "tripmill", **conf: str) -> S
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.session.timeZone": SESSION_ZONE,
         "spark.sql.shuffle.partitions": str(cores),
-        # broadcasting a few million rows of a small test table costs more than
-        # shuffling them, and would leave one task to do the rest
-        "spark.sql.autoBroadcastJoinThreshold": "4MB",
         "spark.driver.memory": "8g",
         "spark.driver.extraJavaOptions": "-Duser.timezone=UTC",
         **conf,
