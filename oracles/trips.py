@@ -807,8 +807,8 @@ from silver group by all""",
 ORACLES["landed_twice"] = over(
     [BRIDGE],
     """
-select '2024-03' as target_month, count(*) as rows_copied, 'Succeeded' as status, count(*) as rows_read
-from trips where source_month = '2024-03'""",
+select source_month as target_month, status, count(*) as row_count
+from trips, (values ('Succeeded'), ('Read')) as v(status) where source_month = '2024-03' group by all""",
 )
 ORACLES["sum_small_values"] = f"""
 select l_returnflag, {total("l_tax / 1000", 6)} as total_tiny, {mean("l_tax / 1000", 9)} as mean_tiny

@@ -212,7 +212,7 @@ def _run_all(spark, lake, zones, target_month, mode, run_ts, year) -> dict:
     tagged = tag_trips(bronze, year)
     K.write_partitions(rejected(tagged), lake.quarantine, ["source_month"], ["reject_reason"], "all", lake.fmt)
     K.write_partitions(coverage_of(tagged), lake.coverage, ["source_month"], [], "all", lake.fmt)
-    _write_silver(_silver(accepted(tagged), zones), lake, "all")
+    _write_silver(_silver(_in_year(accepted(tagged), year), zones), lake, "all")
     raw = bronze.count()
     kept = read(spark, lake, lake.silver).count()
     bad = read(spark, lake, lake.quarantine).count()
@@ -279,6 +279,13 @@ def _in_months(trips: DataFrame, months: list[str]) -> DataFrame:
     return trips.where((raw >= first) & (raw < after))
 
 
+def _in_year(trips: DataFrame, year: int) -> DataFrame:
+    """The year that the date rules accept, as a range for the Parquet scan; a null time stays."""
+    raw = F.col("tpep_pickup_datetime")
+    first, after = (F.lit(f"{y}-01-01 00:00:00").cast("timestamp_ntz") for y in (year, year + 1))
+    return trips.where(raw.isNull() | ((raw >= first) & (raw < after)))
+
+
 def build_gold(
     spark: SparkSession,
     lake: Lake,

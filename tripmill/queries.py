@@ -616,8 +616,9 @@ def landed_twice(spark, sf_dir):
     copied = L.land_month(trips.where("source_month = '2024-03'").drop("source_month"), lake.bronze, "2024", "03")
     log = f"{lake.root}/ingest_log"
     L.log_ingest(spark, log, "2024-03", copied, "run-1")
-    read_back = read_bronze(spark, lake.bronze, "2024-03", RUN_TS).agg(M.rows().alias("rows_read"))
-    return spark.read.parquet(log).select("target_month", "rows_copied", "status").join(read_back)
+    logged = spark.read.parquet(log).select("target_month", "status", F.col("rows_copied").alias("row_count"))
+    read_back = read_bronze(spark, lake.bronze, "2024-03", RUN_TS).groupBy(F.col("source_month").alias("target_month"))
+    return logged.union(read_back.agg(F.lit("Read").alias("status"), M.rows().alias("row_count")))
 
 
 @query
