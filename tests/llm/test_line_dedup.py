@@ -101,3 +101,24 @@ def test_randomly_placed_passages(spark):
         else:
             assert there == size
         first.add(k % len(pool))
+
+
+@pytest.mark.parametrize("sizes", [[18] * 3, [14] * 4, [12] * 5, [10] * 6, [20, 1, 1, 1, 28], [52, 3, 4]])
+def test_passages_of_a_few_short_lines_go_whole(spark, sizes):
+    rows, shared = [], {}
+    for n in range(12):
+        shared[n] = [" ".join(f"{k}{n}{m}" for m in range(size)) for k, size in zip("abcdef", sizes)]
+        for k in (2 * n, 2 * n + 1):
+            rows.append((k, "\n".join(clean_lines(600 + k, 4, 10) + shared[n] + clean_lines(700 + k, k % 3, 10))))
+    got = result(spark, rows)
+    for k, text in rows:
+        own = [line for line in text.split("\n") if line not in shared[k // 2]]
+        assert got[k].text == (text if k % 2 == 0 else "\n".join(own))
+
+
+def test_blank_lines_around_and_within_passages(spark):
+    text = "\n\n" + "\n\n".join(clean_lines(31, 6)) + "\n \n"
+    rows = [(1, text), (2, text), (3, "own\n" + text + "\nmore")]
+    got = result(spark, rows)
+    assert got[1].text == text and got[2].text == ""
+    assert got[3].text.split() == ["own", "more"]

@@ -1,32 +1,29 @@
 """Removes passages of lines that repeat anywhere in the corpus, natively.
 
-Texts are cut into chunks of lines where a rolling hash over two line hashes says so,
-so that an insertion shifts no boundary but its neighbours; a long line is a chunk of
-its own. Chunks with equal hashes point to the first of them. Where the chunks beside
-them agree as well, line by line from the chunk on, the match grows by these lines.
-Matched lines of a document that touch form passages, and passages that are long
-enough and byte for byte those of the first occurrence are removed.
+A window is the shortest run of lines that has enough words, from a line on or up to
+it. Every passage of whole lines that is long enough is covered by windows that lie
+within it, so no choice of anchors can miss one. Windows with equal hashes point to the
+first of them. Windows of a document that overlap or touch and that continue each other
+in one first occurrence form a passage, and passages that are byte for byte those of
+the first occurrence are removed.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BREAK = "\n"
 KEY = ["dedup_id", "dedup_text"]
+WORD = r"[^\\x20\\x09-\\x0D]+"
 
 
 @dataclass(frozen=True)
 class LineDedup:
-    """``divisor``: a boundary falls after one line in so many; ``long_line``: characters
-    from which a line is a chunk of its own; ``least_words``: the shortest passage removed.
-    """
+    """``least_words``: the shortest passage removed."""
 
-    divisor: int = 2
-    long_line: int = 100
     least_words: int = 50
 
 
@@ -45,61 +42,51 @@ def _cut(array: str, first: str, last: str, kind: str) -> str:
     return f"if({last} > {first}, transform(sequence({first}, {last} - 1), i -> {array}[i]), cast(array() as array<{kind}>))"
 
 
-def _chunks(docs: DataFrame, p: LineDedup) -> DataFrame:
-    """One row a chunk: place, size, hash, and line hashes of its neighbours, nearest first."""
+def _windows(docs: DataFrame, p: LineDedup) -> DataFrame:
+    """One row a window: key, start, end (its last line) and hash."""
     lines = docs.filter("text is not null and text <> ''").select(*KEY, F.split("text", BREAK, -1).alias("lines"))
-    hashed = lines.select(
+    # the line of each word
+    spread = f"flatten(transform(lines, (l, i) -> array_repeat(i, regexp_count(l, '{WORD}'))))"
+    hashed = lines.select(*KEY, F.expr("transform(lines, l -> xxhash64(l))").alias("h"), F.expr(spread).alias("w"))
+    last = p.least_words - 1
+    # so many words in a row that begin or end with a line; both ends in a long
+    spans = hashed.select(
         *KEY,
-        F.expr("transform(lines, l -> xxhash64(l))").alias("h"),
-        F.expr("transform(lines, l -> length(l))").alias("n"),
-    )
-    ends = hashed.withColumn(
-        "ends",
+        "h",
         F.expr(
-            f"""filter(sequence(1, size(h)), i -> i = size(h)
-                or n[i - 1] >= {p.long_line} or n[i] >= {p.long_line}
-                or pmod(xxhash64(h[i - 1], if(i > 1, h[i - 2], 0L)), {p.divisor}) = 0)"""
-        ),
+            f"""if(size(w) > {last}, array_distinct(transform(
+                filter(sequence(0, size(w) - 1 - {last}), j -> j = 0 or w[j] <> w[j - 1]
+                    or j + {last} = size(w) - 1 or w[j + {last}] <> w[j + {last} + 1]),
+                j -> w[j] * 4294967296L + w[j + {last}])), cast(array() as array<bigint>))"""
+        ).alias("spans"),
     )
-    spans = ends.withColumn("spans", F.expr("transform(ends, (e, k) -> struct(if(k > 0, ends[k - 1], 0) as a, e as b))"))
-    chunk = f"""transform(spans, (s, k) -> struct(
-        s.a as start,
-        s.b - s.a as size,
-        xxhash64({_cut("h", "s.a", "s.b", "bigint")}) as chunk,
-        exists(sequence(s.a, s.b - 1), i -> n[i] > 0) as visible,
-        if(k > 0, reverse({_cut("h", "spans[k - 1].a", "s.a", "bigint")}), cast(array() as array<bigint>)) as left,
-        if(k < size(spans) - 1, {_cut("h", "s.b", "spans[k + 1].b", "bigint")}, cast(array() as array<bigint>)) as right))"""
-    return spans.select(*KEY, F.inline(F.expr(chunk))).filter("visible").drop("visible")
-
-
-def _common(a: str, b: str) -> Column:
-    """The length of two arrays' common prefix."""
-    both = f"least(size({a}), size({b}))"
-    differ = f"array_position(transform(sequence(1, greatest({both}, 1)), i -> {a}[i - 1] <=> {b}[i - 1]), false)"
-    return F.expr(f"case when {both} = 0 then 0 when {differ} = 0 then {both} else cast({differ} as int) - 1 end")
+    window = f"""transform(transform(spans, s -> struct(cast(shiftright(s, 32) as int) as a, cast(s & 4294967295L as int) as b)),
+        s -> struct(s.a as start, s.b as end, xxhash64({_cut("h", "s.a", "s.b + 1", "bigint")}) as window))"""
+    return spans.select(*KEY, F.inline(F.expr(window)))
 
 
 def matches(docs: DataFrame, p: LineDedup) -> DataFrame:
-    """(key, start, size, first key, first start): matched lines that occur earlier, by hash."""
-    chunks = _chunks(docs, p)
-    place = F.struct(*KEY, "start")
-    first = chunks.groupBy(F.col("chunk").alias("same")).agg(
-        F.count("*").alias("times"), F.min(F.struct(place.alias("at"), "left", "right")).alias("first")
-    )
-    later = chunks.join(first.filter("times > 1"), F.col("chunk") == F.col("same")).filter(place != F.col("first.at"))
-    grown = later.select(
-        *KEY, "start", "size", "first.at",
-        _common("left", "first.left").alias("up"),
-        _common("right", "first.right").alias("down"),
-    )
-    return grown.select(
-        *KEY,
-        (F.col("start") - F.col("up")).alias("start"),
-        (F.col("size") + F.col("up") + F.col("down")).alias("size"),
-        F.col("at.dedup_id").alias("first_id"),
-        F.col("at.dedup_text").alias("first_text"),
-        (F.col("at.start") - F.col("up")).alias("first_start"),
+    """(key, start, size, first key, first start): passages that occur earlier, by hash."""
+    # dealt once, and with the same columns, for both sides of the join
+    windows = _windows(docs, p).repartition("window")
+    place = F.struct(*KEY, "start", "end")
+    first = windows.groupBy(F.col("window").alias("same")).agg(F.count("*").alias("times"), F.min(place).alias("at"))
+    later = windows.join(first.filter("times > 1"), F.col("window") == F.col("same")).filter(place != F.col("at"))
+    # of windows in their order both ends grow, so a run ends where the next begins further on
+    runs = (
+        later.groupBy(
+            *KEY, F.col("at.dedup_id").alias("first_id"), F.col("at.dedup_text").alias("first_text"),
+            (F.col("start") - F.col("at.start")).alias("shift"),
+        )
+        .agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("found"))
+        .withColumn("heads", F.expr("filter(found, (f, k) -> k = 0 or f.start > found[k - 1].end + 1)"))
+        .withColumn("tails", F.expr("filter(found, (f, k) -> k = size(found) - 1 or found[k + 1].start > f.end + 1)"))
+        .select(
+            *KEY, "first_id", "first_text", "shift",
+            F.inline(F.expr("transform(heads, (f, k) -> struct(f.start as start, tails[k].end - f.start + 1 as size))")),
+        )
     )
+    return runs.select(*KEY, "start", "size", "first_id", "first_text", (F.col("start") - F.col("shift")).alias("first_start"))
 
 
 def dedup_lines(docs: DataFrame, p: LineDedup = LineDedup(), count: str | None = None) -> DataFrame:
@@ -108,10 +95,10 @@ def dedup_lines(docs: DataFrame, p: LineDedup = LineDedup(), count: str | None =
     Of a passage's occurrences the first stays: the one with the least id, then text
     hash, then line. Rows that agree in id and text are one document and are treated
     alike; a row without id counts as the least id. A null or empty text stays as it
-    is; a document may become empty but never goes. Passages may also repeat within a
-    document. A column ``n_chars``, where there is one, follows the text; all other
-    columns, whatever their names, stay. ``count`` names a column for the number of
-    lines taken out.
+    is; a document may become empty but never goes, and becomes empty where only blank
+    lines are left. Passages may also repeat within a document. A column ``n_chars``,
+    where there is one, follows the text; all other columns, whatever their names, stay.
+    ``count`` names a column for the number of lines taken out.
     """
     others = [c for c in docs.columns if c != "text"]
     packed = docs.select(
@@ -147,6 +134,9 @@ def dedup_lines(docs: DataFrame, p: LineDedup = LineDedup(), count: str | None =
         ),
     )
     left = "array_except(sequence(0, size(lines) - 1), gone)"
+    # blank lines that nothing is left between go too
+    blank = f"size(gone) > 0 and not exists({left}, i -> lines[i] rlike '{WORD}')"
+    step = step.withColumn("gone", F.expr(f"if({blank}, sequence(0, size(lines) - 1), gone)"))
     text = f"if(size(gone) > 0, array_join(transform({left}, i -> lines[i]), '\\n'), text)"
     done = step.withColumn("text", F.expr(text)).withColumn("removed", F.greatest(F.size("gone"), F.lit(0)))
     columns = []
