@@ -122,3 +122,12 @@ def test_blank_lines_around_and_within_passages(spark):
     got = result(spark, rows)
     assert got[1].text == text and got[2].text == ""
     assert got[3].text.split() == ["own", "more"]
+
+
+def test_touching_lines_of_unrelated_documents_are_no_passage(spark):
+    common = [" ".join(f"{k}{m}" for m in range(30)) for k in "abcd"]
+    short = [f"menu entry number {k} of this page" for k in range(12)]
+    rows = [(k, "\n".join([*clean_lines(800 + k, 3), line, *clean_lines(820 + k, 2)])) for k, line in enumerate(common + short)]
+    rows += [(100, "\n".join([*clean_lines(840, 2), *common, *clean_lines(841, 2)])), (101, "\n".join([*short, *clean_lines(842, 3)]))]
+    got = result(spark, rows)
+    assert all(got[k].text == text and got[k].gone == 0 for k, text in rows)

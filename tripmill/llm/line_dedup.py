@@ -116,23 +116,11 @@ def dedup_lines(docs: DataFrame, p: LineDedup = LineDedup(), count: str | None =
     by_doc = shown.groupBy(*KEY).agg(F.collect_list(F.struct("start", "size", "passage")).alias("found"))
     step = keyed.join(by_doc, KEY, "left")
     step = step.withColumn("lines", F.when(F.col("found").isNotNull(), F.split("text", BREAK, -1)))
-    # only lines that are the first occurrence's, byte for byte
+    # each passage has enough words in one first occurrence; only lines that are its, byte for byte
     own = _cut("lines", "f.start", "f.start + f.size", "string")
     step = step.withColumn("found", F.expr(f"filter(found, f -> array_join({own}, '\\n') = f.passage)"))
     spots = "array_sort(array_distinct(flatten(transform(found, f -> sequence(f.start, f.start + f.size - 1)))))"
-    step = step.withColumn("spots", F.expr(spots))
-    step = step.withColumn("heads", F.expr("filter(spots, (s, i) -> i = 0 or spots[i - 1] <> s - 1)")).withColumn(
-        "tails", F.expr("filter(spots, (s, i) -> i = size(spots) - 1 or spots[i + 1] <> s + 1)")
-    )
-    run = _cut("lines", "heads[k]", "tails[k] + 1", "string")
-    wordy = f"size(filter(split(array_join({run}, ' '), '[\\\\x20\\\\x09-\\\\x0D]+'), w -> w <> '')) >= {p.least_words}"
-    step = step.withColumn(
-        "gone",
-        F.expr(
-            f"if(size(heads) > 0, flatten(transform(filter(sequence(0, size(heads) - 1), k -> {wordy}), "
-            "k -> sequence(heads[k], tails[k]))), cast(array() as array<int>))"
-        ),
-    )
+    step = step.withColumn("gone", F.coalesce(F.expr(spots), F.expr("cast(array() as array<int>)")))
     left = "array_except(sequence(0, size(lines) - 1), gone)"
     # blank lines that nothing is left between go too
     blank = f"size(gone) > 0 and not exists({left}, i -> lines[i] rlike '{WORD}')"
