@@ -109,3 +109,20 @@ def test_equal_values_stay_linked_in_the_given_documents(spark, table):
         for a, b in zip(before, after):
             assert linked.setdefault(a, b) == b
     assert linked and len(set(linked.values())) == len(linked)
+
+
+def test_numbers_followed_or_led_by_more_digits(spark):
+    c = card(1)
+    spaced = " ".join(c[k : k + 4] for k in range(0, 16, 4))
+    phone, other = "555-123-4567", "555-987-6543"
+    alone = dict(zip([spaced, c, phone, other, "10.0.0.1", "31.12.1999", "2024-02-29"], change(spark, [spaced, c, phone, other, "10.0.0.1", "31.12.1999", "2024-02-29"])))
+    texts = [
+        [spaced, " 123"], [spaced, " 12/27"], [c, "-99"], [c, " 12/27 123"], ["12 ", spaced, " 7"], [spaced, " ", c, " ", spaced],
+        [phone, " ", other], [phone, " 2024"], ["2024 ", phone, " 1"], [spaced, " ", phone], [c, " 555 ", other],
+        [spaced, " ", "10.0.0.1"], [spaced, " ", "31.12.1999"], ["123 ", "2024-02-29", " 12345"], ["1 22 333 ", spaced, " 55555"],
+    ]
+    got = change(spark, ["call " + "".join(t) + " now" for t in texts])
+    assert got == ["call " + "".join(alone.get(x, x) for x in t) + " now" for t in texts]
+    assert all(alone[x] != x for x in alone)
+    assert change(spark, got, back=True) == ["call " + "".join(t) + " now" for t in texts]
+    assert luhn(re.sub("[^0-9]", "", alone[spaced]))

@@ -22,10 +22,17 @@ CYCLE_START, CYCLE_END, CYCLE = "1800-01-01", "2200-01-01", (189, 773)
 EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 IP = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
 ISO_DATE = r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])"
-OTHER_DATE = r"(?<![0-9./])[0-9]{2}([./])[0-9]{2}\1[0-9]{4}(?![0-9/]|\.[0-9])"
+OTHER_DATE = r"(?<![0-9./])[0-9]{2}(?:\.[0-9]{2}\.|/[0-9]{2}/)[0-9]{4}(?![0-9/]|\.[0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 PHONE = r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
 CARD = r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"
+OTHERS = "|".join([EMAIL, IP, ISO_DATE, OTHER_DATE, SSN, PHONE])
+# Groups of digits up to where another kind begins; cards are sought among them.
+GROUP = f"(?!{OTHERS})[0-9]++(?![A-Za-z])"
+RUN = f"(?<![0-9A-Za-z])(?=[0-9](?:[ -]?[0-9]){{12}}){GROUP}(?:[ -]{GROUP})*+"
+ANY = f"{OTHERS}|{RUN}"
+# Card numbers are written like this, or in one group.
+USUAL = [[4, 4, 4, 4], [4, 6, 5], [4, 6, 4]]
 
 
 @dataclass(frozen=True)
@@ -178,7 +185,80 @@ def _final(x: Column) -> Column:
     )
 
 
-ANY = "|".join([EMAIL, IP, ISO_DATE, OTHER_DATE, SSN, CARD, PHONE])
+def _tokens(hit: Column) -> Column:
+    """A hit and, where it is a run of digits, its groups, each with the separator before it."""
+    run = hit.rlike("^[0-9](?:[ -]?[0-9]){12,}$")
+    groups = F.when(run, F.split(hit, "(?=[ -])")).otherwise(F.array().cast("array<string>"))
+    return F.struct(hit.alias("hit"), groups.alias("tokens"), F.transform(groups, lambda t: F.length(_digits(t))).alias("sizes"))
+
+
+def _part(tokens: Column, start: Column, end: Column) -> Column:
+    """Tokens start .. end - 1 as text."""
+    empty = F.array().cast("array<string>")
+    return F.array_join(F.when(end > start, F.transform(F.sequence(start, end - 1), lambda i: F.get(tokens, i))).otherwise(empty), "")
+
+
+def _usual_ends(x: Column) -> Column:
+    """For each group the end of the usually written, valid card that starts there, else 0."""
+    tokens, sizes = x["tokens"], x["sizes"]
+
+    def end(size: Column, i: Column) -> Column:
+        groups = F.when(size.between(13, 19), 1)
+        for shape in USUAL:
+            same = size == shape[0]
+            for k, n in enumerate(shape[1:], 1):
+                same = same & F.coalesce(F.get(sizes, i + k) == n, F.lit(False))
+            groups = groups.when(same, len(shape))
+        groups = groups.otherwise(0)
+        return F.when((groups > 0) & (luhn_sum(_digits(_part(tokens, i, i + groups))) % 10 == 0), i + groups).otherwise(0)
+
+    return F.struct(x["hit"].alias("hit"), tokens.alias("tokens"), sizes.alias("sizes"), F.transform(sizes, end).alias("usual"))
+
+
+def _ends(x: Column) -> Column:
+    """For each group the end of the card that starts there, else 0: a usual one, else the longest without a usual one inside."""
+    tokens, sizes, usual = x["tokens"], x["sizes"], x["usual"]
+
+    def end(own: Column, i: Column) -> Column:
+        # a card has 19 digits at most
+        ahead = F.sequence(i + 1, F.least(i + 19, F.size(sizes)))
+
+        def valid(e: Column) -> Column:
+            digits = F.aggregate(F.sequence(i, e - 1), F.lit(0), lambda n, k: n + F.get(sizes, k))
+            free = F.forall(F.sequence(i, e - 1), lambda k: F.get(usual, k) == 0)
+            return F.when(digits.between(13, 19) & free, luhn_sum(_digits(_part(tokens, i, e))) % 10 == 0).otherwise(False)
+
+        return F.when(own > 0, own).otherwise(F.coalesce(F.array_max(F.filter(ahead, valid)), F.lit(0)))
+
+    return F.struct(x["hit"].alias("hit"), tokens.alias("tokens"), F.transform(usual, end).alias("ends"))
+
+
+def _picks(x: Column) -> Column:
+    """The cards of a run from left to right: first group and end."""
+    starts = F.transform(x["ends"], lambda e, i: F.struct(i.alias("start"), e.alias("end")))
+    none = F.array().cast("array<struct<start:int,end:int>>")
+
+    def pick(state: Column, s: Column) -> Column:
+        new = F.struct(s["end"].alias("free"), F.concat(state["picks"], F.array(s)).alias("picks"))
+        return F.when((s["end"] > 0) & (s["start"] >= state["free"]), new).otherwise(state)
+
+    picked = F.aggregate(starts, F.struct(F.lit(0).alias("free"), none.alias("picks")), pick, lambda state: state["picks"])
+    return F.struct(x["hit"].alias("hit"), x["tokens"].alias("tokens"), picked.alias("picks"))
+
+
+def _pieces(x: Column) -> Column:
+    """A hit's text in pieces, each card of a run one of them."""
+    tokens, picks = x["tokens"], x["picks"]
+
+    def cut(pick: Column, k: Column) -> Column:
+        before = F.when(k > 0, F.get(picks, k - 1)["end"]).otherwise(0)
+        first = F.get(tokens, pick["start"])
+        mark = F.regexp_extract(first, "^[ -]?", 0)
+        card = F.substring(_part(tokens, pick["start"], pick["end"]), F.length(mark) + 1, F.lit(100))
+        return F.array(F.concat(_part(tokens, before, pick["start"]), mark), card)
+
+    rest = F.array(_part(tokens, F.get(picks, F.size(picks) - 1)["end"], F.size(tokens)))
+    return F.when(F.size(picks) > 0, F.concat(F.flatten(F.transform(picks, cut)), rest)).otherwise(F.array(x["hit"]))
 
 
 def pseudonyms(docs: DataFrame, p: Pseudonyms, back: bool = False, kinds: str | None = None) -> DataFrame:
@@ -187,20 +267,27 @@ def pseudonyms(docs: DataFrame, p: Pseudonyms, back: bool = False, kinds: str |
     Valid values are e-mail addresses (the part before the @), IPv4 addresses, card
     numbers with a right check digit, phone numbers (all but the country code), social
     security numbers, and dates from 1800 to 2199, ISO or with the day first; what fails
-    its check stays. A null or empty text stays as it is. Equal values get equal
-    pseudonyms wherever they stand; ``back`` restores the originals. ``kinds`` names a
-    column for the kinds of the values found, in their order.
+    its check stays. In a longer run of digits, cards are the valid ones among its groups,
+    those written as usual first and then the longest. A null or empty text stays as it is. Equal values get equal
+    pseudonyms wherever they stand; ``back`` restores the originals, except where new
+    digits happen to make other groups of a run a valid card, as with four more digits
+    before one or with cards that are not written as usual. ``kinds`` names a column for
+    the kinds of the values found, in their order.
     """
     text = F.col("text").cast("string")
     row = docs.select(F.struct(*docs.columns).alias("pii_row"), text.alias("text"))
     none = F.array().cast("array<string>")
     found = row.withColumn("hits", F.when(F.col("text").rlike(ANY), F.regexp_extract_all("text", F.lit(ANY), F.lit(0))))
-    step = found.withColumn("hits", F.transform("hits", lambda h: F.struct(h.alias("hit"), _kind(h).alias("kind"))))
+    step = found
+    for change in (_tokens, _usual_ends, _ends, _picks, _pieces):
+        step = step.withColumn("hits", F.transform("hits", change))
+    gaps = F.zip_with(F.split("text", ANY, -1), "hits", lambda g, h: F.concat(F.array(g), F.array_repeat(F.lit(""), F.coalesce(F.size(h), F.lit(1)) - 1)))
+    step = step.withColumn("gaps", F.when(F.size("hits") > 0, F.flatten(gaps))).withColumn("hits", F.flatten("hits"))
+    step = step.withColumn("hits", F.transform("hits", lambda h: F.struct(h.alias("hit"), _kind(h).alias("kind"))))
     step = step.withColumn("named", F.filter(F.transform("hits", lambda x: x["kind"]), lambda k: k != "none"))
     for change in (_parsed, _moved(p, back), _written, _final):
         step = step.withColumn("hits", F.transform("hits", change))
-    gaps = F.split("text", ANY, -1)
-    whole = F.array_join(F.zip_with(gaps, F.concat("hits", F.array(F.lit(""))), lambda g, m: F.concat(g, m)), "")
+    whole = F.array_join(F.zip_with("gaps", F.concat("hits", F.array(F.lit(""))), lambda g, m: F.concat(g, m)), "")
     done = step.withColumn("text", F.when(F.size("hits") > 0, whole).otherwise(F.col("text")))
     columns = [(F.col("text") if c == "text" else F.col("pii_row")[c]).alias(c) for c in docs.columns]
     return done.select(*columns, *([F.coalesce("named", none).alias(kinds)] if kinds else []))
