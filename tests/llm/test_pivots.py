@@ -89,3 +89,26 @@ def test_edge_rows(spark):
         assert (by_id[i].n_links, by_id[i].component_id, by_id[i].kept) == (0, i, True)
     assert by_id[None].n_links == 0 and by_id[None].kept and by_id[None].component_id is None
     assert near_vectors(frame(spark, [])).collect() == []
+
+
+def test_rare_lengths_find_their_links(spark):
+    draw = np.random.default_rng(5)
+    rows = blobs(4)
+    for size, pairs in ((5, 1), (7, 2), (8, 6)):
+        for _ in range(pairs):
+            v = draw.normal(size=size)
+            rows += [(2000 + len(rows) + k, (v + draw.normal(size=size) * 0.001).tolist(), 1) for k in range(2)]
+            rows.append((9000 + len(rows), draw.normal(size=size).tolist(), 1))
+    links, _, label = brute(rows)
+    got = {r.vec_id: r for r in near_vectors(frame(spark, rows)).collect()}
+    rare = [n for n, (_, v, _) in enumerate(rows) if len(v) < 10]
+    assert sum(links[n] for n in rare) >= 18
+    assert {n: got[rows[n][0]].n_links for n in rare} == {n: links[n] for n in rare}
+    assert {n: got[rows[n][0]].component_id for n in rare} == {n: label[rows[n][0]] for n in rare}
+
+
+def test_a_confirmed_pair_with_one_pivot_in_common_is_a_link(spark):
+    rows = blobs(3)
+    _, pairs, _ = brute(rows)
+    found = sum(r.n_links for r in near_vectors(frame(spark, rows), PivotIndex(pivots=8, nearest=1)).collect())
+    assert 0.5 * 2 * len(pairs) <= found <= 2 * len(pairs)

@@ -1,8 +1,9 @@
 """Near-duplicate vectors by a pivot-permutation index.
 
-Reference points, the pivots, are drawn from the vectors. Each vector is described by
-its nearest pivots; inverted lists hold the vectors that have a pivot among them. Two
-vectors of a label that share enough pivots are compared exactly. A pair that meets in
+Reference points, the pivots, are drawn from the vectors of each length. Each vector is
+described by its nearest pivots; inverted lists hold the vectors that have a pivot among
+them. Two vectors of a label and length that share a pivot are compared exactly, and
+every pair that passes is a link. A pair that meets in
 several lists belongs to its smallest shared pivot, so that it counts once although
 pairs are never listed: tasks send on numbers of links, and a spanning forest of them.
 Long lists are cut into parts, and pairs of parts are compared. Equal vectors of a
@@ -17,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmill.llm.common import saved
@@ -26,9 +27,10 @@ from tripmill.llm.components import components
 
 @dataclass(frozen=True)
 class PivotIndex:
-    """``nearest``: pivots that describe a vector; ``shared``: how many of them a pair
-    has in common at least. ``pivots``: 0 for the square root of the number of vectors,
-    within 16 and ``most_pivots``; that many vectors are drawn, by a hash of their ids.
+    """``nearest``: pivots that describe a vector; ``shared``: how many of them a link's
+    ends have in common at least, or all where there are fewer; more than one only loses
+    links. ``pivots``: 0 for the square root of the number of vectors of a length, within
+    16 and ``most_pivots``; that many vectors are drawn, by a hash of their ids.
     ``part``: vectors of a list that a task compares with as many others.
     """
 
@@ -36,7 +38,7 @@ class PivotIndex:
     pivots: int = 0
     most_pivots: int = 2048
     nearest: int = 8
-    shared: int = 2
+    shared: int = 1
     part: int = 256
 
 
@@ -99,7 +101,7 @@ def _compare(p: PivotIndex):
                 fx, fy = near_x[x[s : s + 8192]], near_y[y[s : s + 8192]]
                 both = (fx[:, :, None] == fy[:, None, :]).any(axis=2)
                 least = np.where(both, fx, np.iinfo(np.int32).max).min(axis=1)
-                keep[s : s + 8192] = (both.sum(axis=1) >= p.shared) & (least == pivot)
+                keep[s : s + 8192] = (both.sum(axis=1) >= min(p.shared, fx.shape[1])) & (least == pivot)
             x, y = left[x[keep]], right[y[keep]]
             np.add.at(counted, x, copies[y])
             np.add.at(counted, y, copies[x])
@@ -140,31 +142,33 @@ def near_vectors(vectors: DataFrame, p: PivotIndex = PivotIndex()) -> DataFrame:
     heads = keyed.join(classes, F.expr("class = group and vec_id = head")).dropDuplicates(["class"])
     heads = saved(heads.select("class", "label", "head", "copies", "embedding"))
 
-    total = heads.count()
-    wanted = p.pivots or min(p.most_pivots, max(16, math.isqrt(total)))
-    # at most most_pivots vectors, whatever the table's size
-    drawn = heads.select("head", "embedding").orderBy(F.xxhash64(F.lit("pivot"), "head"), "head").limit(wanted).collect()
-    sizes = [r[0] for r in heads.select(F.size("embedding")).distinct().collect()] if total else []
-    pivots = {}
-    for size in sizes:
-        own = [r.embedding for r in drawn if len(r.embedding) == size]
-        pivots[size] = unit(own) if own else np.eye(1, size)
+    sized = heads.select("head", "embedding", F.size("embedding").alias("size"))
+    counts = {r[0]: r[1] for r in sized.groupBy("size").count().collect()}
+    wanted = {size: p.pivots or min(p.most_pivots, max(16, math.isqrt(n))) for size, n in counts.items()}
+    # at most most_pivots vectors of a length, whatever the table's size
+    order = Window.partitionBy("size").orderBy(F.xxhash64(F.lit("pivot"), "head"), "head")
+    places = sized.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= max(wanted.values(), default=1))
+    drawn: dict[int, list] = {size: [] for size in counts}
+    for r in places.orderBy("size", "place").collect():
+        if r.place <= wanted[r["size"]]:
+            drawn[r["size"]].append(r.embedding)
+    pivots = {size: unit(own) for size, own in drawn.items()}
     described = saved(heads.withColumn("near", _describe(pivots, p)("embedding")))
 
-    lists = described.withColumn("pivot", F.explode("near"))
-    length = lists.groupBy(F.col("label").alias("in_label"), F.col("pivot").alias("in_pivot")).agg(
+    lists = described.withColumn("pivot", F.explode("near")).withColumn("size", F.size("embedding"))
+    length = lists.groupBy(F.col("label").alias("in_label"), F.col("size").alias("in_size"), F.col("pivot").alias("in_pivot")).agg(
         F.ceil(F.count("*") / p.part).cast("int").alias("parts")
     )
     placed = (
-        lists.join(length, F.expr("label = in_label and pivot = in_pivot"))
+        lists.join(length, F.expr("label = in_label and size = in_size and pivot = in_pivot"))
         .withColumn("part", F.expr("cast(pmod(xxhash64(head, class), parts) as int)"))
         .withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
         .select(
-            "label", "pivot", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
+            "label", "size", "pivot", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
             "part", "head", "copies", "embedding", "near",
         )
     )
-    found = saved(placed.groupBy("label", "pivot", "i", "j").applyInPandas(_compare(p), "a long, b long, links long"))
+    found = saved(placed.groupBy("label", "size", "pivot", "i", "j").applyInPandas(_compare(p), "a long, b long, links long"))
     links = found.filter("b is null").groupBy(F.col("a").alias("of")).agg(F.sum("links").alias("links"))
     # a repeated id ties the classes it stands in together
     ties = keyed.select("vec_id", "class").join(classes, F.expr("class = group")).select(
