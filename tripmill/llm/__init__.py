@@ -1,4 +1,4 @@
-"""Operators for large text corpora: ten of them, each a DataFrame-to-DataFrame function."""
+"""Operators for large text corpora, each a DataFrame-to-DataFrame function."""
 
 import sys
 

@@ -27,6 +27,27 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """The rows written once, with consecutive numbers from 0 in the order they have now.
+
+    The driver sees one count a partition; a partition's offset reaches its rows by a join
+    with that small table.
+    """
+    spark = df.sparkSession
+    # Spark's id is the partition in the upper 31 bits and the row within it in the lower 33
+    marked = saved(df.withColumn(name, F.monotonically_increasing_id()))
+    part = F.shiftright(F.col(name), 33)
+    counts = sorted(tuple(r) for r in marked.groupBy(part.alias("part")).agg(F.count("*")).collect())
+    offsets, total = [], 0
+    for number, n in counts:
+        offsets.append((number, total))
+        total += n
+    starts = spark.createDataFrame(offsets, "numbered_part long, numbered_from long")
+    placed = marked.withColumn("numbered_own", part).join(starts, F.expr("numbered_own = numbered_part"))
+    place = F.col("numbered_from") + F.col(name).bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.select(*[place.alias(name) if c == name else F.col(c) for c in marked.columns])
+
+
 def fold_of(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as an empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds

@@ -16,8 +16,11 @@ from tripmill.llm import (
     packing,
     pii,
     pivots,
+    resampling,
     secret_scan,
+    template,
     toxicity,
+    whitening,
 )
 from tripmill.llm.common import table
 
@@ -86,6 +89,20 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deviations as longs; one that a long cannot hold is null here."""
+    done = whitening.whitened(table(spark, sf_dir, "embeddings"))
+    return done.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template.main_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scores": op1_lm_scores,
     "op2_line_dedup": op2_line_dedup,
@@ -97,4 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_near_dups": op8_embedding_near_dups,
     "op9_pii_pseudonyms": op9_pii_pseudonyms,
     "op10_decontamination": op10_decontamination,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_html_extraction": op13_html_extraction,
 }
