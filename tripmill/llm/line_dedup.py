@@ -1,11 +1,14 @@
 """Removes passages of lines that repeat anywhere in the corpus, natively.
 
-A window is the shortest run of lines that has enough words, from a line on or up to
-it. Every passage of whole lines that is long enough is covered by windows that lie
-within it, so no choice of anchors can miss one. Windows with equal hashes point to the
-first of them. Windows of a document that overlap or touch and that continue each other
-in one first occurrence form a passage, and passages that are byte for byte those of
-the first occurrence are removed.
+A rolling hash over the hashes of neighbouring lines chooses boundaries, so equal passages
+are cut at equal lines wherever they stand. Chunks from boundary to boundary are counted
+over the whole corpus. A chunk that occurs once cannot lie in a repeated passage, and only
+what is around repeated chunks, or too short to hold one, is looked at further: the
+shortest runs of lines with enough words, from each line on and up to each line, which
+cover every passage that is long enough exactly. Runs with equal hashes point to the
+first of them; those of a document that overlap or touch and continue each other in one
+first occurrence form a passage, and passages that are byte for byte those of the first
+occurrence are removed.
 """
 
 from __future__ import annotations
@@ -22,9 +25,15 @@ WORD = r"[^\\x20\\x09-\\x0D]+"
 
 @dataclass(frozen=True)
 class LineDedup:
-    """``least_words``: the shortest passage removed."""
+    """``least_words``: the shortest passage removed.
+
+    A line ends a chunk if the hash of it and the lines before it, ``rolling`` in all, is
+    divisible by ``divisor``: these change the work, not the result.
+    """
 
     least_words: int = 50
+    rolling: int = 2
+    divisor: int = 2
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -42,36 +51,68 @@ def _cut(array: str, first: str, last: str, kind: str) -> str:
     return f"if({last} > {first}, transform(sequence({first}, {last} - 1), i -> {array}[i]), cast(array() as array<{kind}>))"
 
 
-def _windows(docs: DataFrame, p: LineDedup) -> DataFrame:
-    """One row a window: key, start, end (its last line) and hash."""
+def _lines(docs: DataFrame, p: LineDedup) -> DataFrame:
+    """Per document the hashes of its lines, and the lines that end a chunk."""
     lines = docs.filter("text is not null and text <> ''").select(*KEY, F.split("text", BREAK, -1).alias("lines"))
-    # the line of each word
+    hashed = lines.select(*KEY, "lines", F.expr("transform(lines, l -> xxhash64(l))").alias("h"))
+    rolled = ", ".join(f"h[i - {k}]" for k in range(p.rolling))
+    ends = f"""if(size(h) < {p.rolling}, cast(array() as array<int>), filter(sequence({p.rolling - 1}, size(h) - 1),
+        i -> pmod(xxhash64({rolled}), {p.divisor}) = 0))"""
+    return hashed.withColumn("ends", F.expr(ends))
+
+
+def _chunk(k: str, p: LineDedup) -> tuple[str, str]:
+    """First and last line of the chunk after end ``k``, with the lines that chose its boundaries."""
+    return f"(ends[{k}] - {p.rolling - 1})", f"ends[{k} + 1]"
+
+
+def repeated_chunks(docs: DataFrame, p: LineDedup) -> DataFrame:
+    """(repeated): hashes of the chunks that occur more than once; partial counts meet, not chunks."""
+    first, last = _chunk("k", p)
+    hashes = f"""if(size(ends) < 2, cast(array() as array<bigint>),
+        transform(sequence(0, size(ends) - 2), k -> xxhash64({_cut("h", first, f"{last} + 1", "bigint")})))"""
+    chunks = _lines(docs, p).select(F.explode(F.expr(hashes)).alias("repeated"))
+    return chunks.groupBy("repeated").agg(F.count("*").alias("times")).filter("times > 1").select("repeated")
+
+
+def _windows(docs: DataFrame, p: LineDedup) -> DataFrame:
+    """One row a window: key, start, end (its last line), hash, and the chunk it holds, if any."""
+    # the line of each word, and for each line the next end after it
     spread = f"flatten(transform(lines, (l, i) -> array_repeat(i, regexp_count(l, '{WORD}'))))"
-    hashed = lines.select(*KEY, F.expr("transform(lines, l -> xxhash64(l))").alias("h"), F.expr(spread).alias("w"))
+    following = "flatten(transform(ends, (e, k) -> array_repeat(k, e - if(k = 0, 0, ends[k - 1]))))"
+    hashed = _lines(docs, p).select(*KEY, "h", "ends", F.expr(spread).alias("w"), F.expr(following).alias("next"))
     last = p.least_words - 1
     # so many words in a row that begin or end with a line; both ends in a long
     spans = hashed.select(
-        *KEY,
-        "h",
+        *KEY, "h", "ends", "next",
         F.expr(
             f"""if(size(w) > {last}, array_distinct(transform(
                 filter(sequence(0, size(w) - 1 - {last}), j -> j = 0 or w[j] <> w[j - 1]
                     or j + {last} = size(w) - 1 or w[j + {last}] <> w[j + {last} + 1]),
                 j -> w[j] * 4294967296L + w[j + {last}])), cast(array() as array<bigint>))"""
         ).alias("spans"),
-    )
-    window = f"""transform(transform(spans, s -> struct(cast(shiftright(s, 32) as int) as a, cast(s & 4294967295L as int) as b)),
-        s -> struct(s.a as start, s.b as end, xxhash64({_cut("h", "s.a", "s.b + 1", "bigint")}) as window))"""
+    )
+    # the first chunk whose boundaries are chosen at or after a window's start
+    from_line = f"s.a + {p.rolling - 2}"
+    number = f"if({from_line} < 0, 0, get(next, {from_line}))"
+    first, end = _chunk("s.k", p)
+    held = f"if(get(ends, s.k + 1) <= s.b, xxhash64({_cut('h', first, f'{end} + 1', 'bigint')}), null)"
+    window = f"""transform(transform(transform(spans,
+        s -> struct(cast(shiftright(s, 32) as int) as a, cast(s & 4294967295L as int) as b)),
+        s -> struct(s.a as a, s.b as b, {number} as k)),
+        s -> struct(s.a as start, s.b as end, xxhash64({_cut("h", "s.a", "s.b + 1", "bigint")}) as window, {held} as chunk))"""
     return spans.select(*KEY, F.inline(F.expr(window)))
 
 
 def matches(docs: DataFrame, p: LineDedup) -> DataFrame:
     """(key, start, size, first key, first start): passages that occur earlier, by hash."""
-    # dealt once, and with the same columns, for both sides of the join
-    windows = _windows(docs, p).repartition("window")
+    # windows without a chunk meet no chunk, and are spread by their own hash
+    windows = _windows(docs, p).withColumn("meets", F.coalesce("chunk", "window"))
+    near = windows.join(repeated_chunks(docs, p), F.col("meets") == F.col("repeated"), "left")
+    near = near.filter("chunk is null or repeated is not null").select(*KEY, "start", "end", "window")
     place = F.struct(*KEY, "start", "end")
-    first = windows.groupBy(F.col("window").alias("same")).agg(F.count("*").alias("times"), F.min(place).alias("at"))
-    later = windows.join(first.filter("times > 1"), F.col("window") == F.col("same")).filter(place != F.col("at"))
+    first = near.groupBy(F.col("window").alias("same")).agg(F.count("*").alias("times"), F.min(place).alias("at"))
+    later = near.join(first.filter("times > 1"), F.col("window") == F.col("same")).filter(place != F.col("at"))
     # of windows in their order both ends grow, so a run ends where the next begins further on
     runs = (
         later.groupBy(
