@@ -126,3 +126,30 @@ def test_numbers_followed_or_led_by_more_digits(spark):
     assert all(alone[x] != x for x in alone)
     assert change(spark, got, back=True) == ["call " + "".join(t) + " now" for t in texts]
     assert luhn(re.sub("[^0-9]", "", alone[spaced]))
+
+
+def test_ssns_stay_valid_and_come_back(spark):
+    draw = random.Random(11)
+    areas = [a for a in range(1, 900) if a != 666]
+    given = sorted({f"{draw.choice(areas):03d}-{draw.randrange(1, 100):02d}-{draw.randrange(1, 10_000):04d}" for _ in range(10_000)})
+    given += ["001-01-0001", "665-99-9999", "667-01-0001", "899-99-9999"]
+    given = sorted(set(given))
+    p = Pseudonyms("k")
+    docs = documents(spark, [(k, " and ".join(given[k : k + 100])) for k in range(0, len(given), 100)])
+    moved = pseudonyms(docs, p, kinds="kinds").orderBy("doc_id").collect()
+    new = [x for r in moved for x in r.text.split(" and ")]
+    assert len(set(new)) == len(given) and {k for r in moved for k in r.kinds} == {"ssn"}
+    assert all(len(r.kinds) == len(r.text.split(" and ")) for r in moved)
+    assert not any(re.search(r"^(000|666|9)|-00-|-0000$", x) for x in new)
+    back = pseudonyms(spark.createDataFrame([(r.doc_id, r.text) for r in moved], "doc_id long, text string"), p, back=True)
+    assert [x for r in back.orderBy("doc_id").collect() for x in r.text.split(" and ")] == given
+
+
+def test_one_letter_names_are_permuted_not_shifted(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    docs = documents(spark, [(k, f"{c}@x.org") for k, c in enumerate(letters)])
+    new = [r.text[0] for r in pseudonyms(docs, Pseudonyms("k")).orderBy("doc_id").collect()]
+    assert sorted(new) == list(letters)
+    assert len({(ord(a) - ord(b)) % 26 for a, b in zip(new, letters)}) > 5
+    moved = documents(spark, [(k, f"{c}@x.org") for k, c in enumerate(new)])
+    assert [r.text[0] for r in pseudonyms(moved, Pseudonyms("k"), back=True).orderBy("doc_id").collect()] == list(letters)

@@ -2,7 +2,8 @@
 
 A value that passes its validation is cut into symbols, each with a radix of its own,
 and run through a Feistel network: symbols at odd and even places are the two halves,
-and each round adds to the one half a keyed hash of the other, modulo each radix. That
+and each round adds to the one half a keyed hash of the other, modulo each radix. Numbers
+that are valid within bounds count by their rank among the valid ones. That
 is a permutation of all values of the same format, so equal values get equal
 pseudonyms in all documents, different ones different, and the key's holder can undo it.
 """
@@ -15,7 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
-# A Gregorian cycle of 400 years has 146,097 = 189 * 773 days.
+# A Gregorian cycle of 400 years has 146,097 = 189 * 773 days. Valid social security
+# numbers have areas 001 to 899 but for 666, groups from 01 and serials from 0001.
+AREAS, NO_AREA, GROUPS, SERIALS = 898, 666, 99, 9999
 CYCLE_START, CYCLE_END, CYCLE = "1800-01-01", "2200-01-01", (189, 773)
 
 # What each kind looks like in a text. Order decides where two could start at one place.
@@ -60,6 +63,17 @@ def feistel(values: Column, radices: Column, key: Column, back: bool = False) ->
     return F.aggregate(F.array(*[F.lit(r) for r in rounds]), values, turn)
 
 
+def shuffled(value: Column, radix: Column, key: Column, back: bool = False) -> Column:
+    """A keyed permutation of a single symbol, whose network would have an empty half: all its values by keyed hash."""
+
+    def keyed(i: Column) -> Column:
+        digest = F.sha2(F.concat_ws("|", key, F.lit("single"), radix.cast("string"), i.cast("string")).cast("binary"), 256)
+        return F.struct(digest.alias("h"), i.alias("i"))
+
+    order = F.transform(F.array_sort(F.transform(F.sequence(F.lit(0).cast("long"), radix - 1), keyed)), lambda s: s["i"])
+    return F.array_position(order, value) - 1 if back else F.get(order, value.cast("int"))
+
+
 def _symbols(text: Column) -> Column:
     """Characters of a text with the class that a pseudonym keeps: value, radix, first of the class."""
 
@@ -128,15 +142,21 @@ def _parsed(x: Column) -> Column:
         F.when(kind == "email", F.substring_index(hit, "@", 1))
         .when(kind == "phone", F.substring(hit, F.length(code) + 1, F.length(hit)))
         .when(kind == "card", F.substring(hit, F.lit(1), F.length(hit) - 1))
-        .when(kind == "ssn", hit)
         .otherwise("")
     )
 
     def plain(v: Column, radix: int) -> Column:
         return F.struct(v.cast("long").alias("v"), F.lit(radix).cast("long").alias("radix"), F.lit(0).alias("base"))
 
+    area = F.substring(hit, 1, 3).cast("int")
+    ranks = F.array(
+        plain(area - 1 - (area > NO_AREA).cast("int"), AREAS),
+        plain(F.substring(hit, 5, 2).cast("int") - 1, GROUPS),
+        plain(F.substring(hit, 8, 4).cast("int") - 1, SERIALS),
+    )
     symbols = (
-        F.when(kind == "ip", F.transform(F.split(hit, r"\."), lambda o: plain(o, 256)))
+        F.when(kind == "ssn", ranks)
+        .when(kind == "ip", F.transform(F.split(hit, r"\."), lambda o: plain(o, 256)))
         .when(kind.isin("date", "day"), F.array(plain(F.floor(days / CYCLE[1]), CYCLE[0]), plain(F.pmod(days, F.lit(CYCLE[1])), CYCLE[1])))
         .otherwise(_symbols(body))
     )
@@ -147,7 +167,9 @@ def _moved(p: Pseudonyms, back: bool):
     def one(x: Column) -> Column:
         free = F.filter(x["symbols"], lambda s: s["radix"] > 1)
         values, radices = F.transform(free, lambda s: s["v"]), F.transform(free, lambda s: s["radix"])
-        moved = feistel(values, radices, F.concat_ws("|", F.lit(p.key), x["kind"]), back)
+        key = F.concat_ws("|", F.lit(p.key), x["kind"])
+        alone = F.array(shuffled(F.get(values, F.lit(0)), F.get(radices, F.lit(0)), key, back))
+        moved = F.when(F.size(free) == 1, alone).otherwise(feistel(values, radices, key, back))
         return F.struct(x["hit"].alias("hit"), x["kind"].alias("kind"), x["code"].alias("code"), x["symbols"].alias("symbols"), moved.alias("moved"))
 
     return one
@@ -164,9 +186,13 @@ def _written(x: Column) -> Column:
     text = F.array_join(F.transform(symbols, character), "")
     day = F.date_add(F.lit(CYCLE_START).cast("date"), (F.get(moved, F.lit(0)) * CYCLE[1] + F.get(moved, F.lit(1))).cast("int"))
     mark = F.substring(x["hit"], 3, 1)
+    rank = F.get(moved, F.lit(0))
+    area = rank + 1 + (rank + 1 >= NO_AREA).cast("int")
+    parts = [(area, 3), (F.get(moved, F.lit(1)) + 1, 2), (F.get(moved, F.lit(2)) + 1, 4)]
     return F.struct(
         x["hit"].alias("hit"), x["kind"].alias("kind"), x["code"].alias("code"), text.alias("text"),
         F.when(x["kind"] == "ip", F.array_join(F.transform(moved, lambda v: v.cast("string")), "."))
+        .when(x["kind"] == "ssn", F.concat_ws("-", *[F.lpad(v.cast("string"), n, "0") for v, n in parts]))
         .when(x["kind"] == "date", F.date_format(day, "yyyy-MM-dd"))
         .when(x["kind"] == "day", F.concat(F.date_format(day, "dd"), mark, F.date_format(day, "MM"), mark, F.date_format(day, "yyyy")))
         .alias("whole"),
@@ -180,7 +206,6 @@ def _final(x: Column) -> Column:
         .when(x["kind"] == "email", F.concat(x["text"], F.lit("@"), F.substring_index(x["hit"], "@", -1)))
         .when(x["kind"] == "phone", F.concat(x["code"], x["text"]))
         .when(x["kind"] == "card", F.concat(x["text"], check.cast("string")))
-        .when(x["kind"] == "ssn", x["text"])
         .otherwise(x["whole"])
     )
 
