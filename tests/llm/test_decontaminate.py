@@ -55,7 +55,7 @@ def test_finds_are_those_of_full_alignment():
 
 
 def test_batches_and_passes_do_not_change_the_result(spark):
-    items = [(k, edit(ITEM, 60, k)) for k in range(6)] + [(None, "no id, no match"), (9, None), (10, "short"), (1, edit(ITEM, 60, 1))]
+    items = [(k, edit(ITEM, 60, k)) for k in range(6)] + [(None, "no id, no match"), (9, None), (10, "none of it"), (1, edit(ITEM, 60, 1))]
     bench = spark.createDataFrame(items, "item_id long, text string")
     rows = [(k, "start " + edit(items[k % 6][1], k % 7, k) + "\nend") for k in range(40)]
     rows += [(40, None), (41, ""), (None, ITEM), (42, items[0][1]), (42, items[0][1])]
@@ -101,3 +101,34 @@ def test_exact_items_in_the_given_documents_are_found(spark, table):
                 assert item_id in got[row.doc_id]
                 seen += 1
     assert seen
+
+
+@pytest.mark.parametrize("size", [8, 12, 19, 20, 29, 30, 31, 35, 39])
+def test_items_of_few_characters_have_their_whole_budget(size):
+    p, item = Decontamination(), ITEM[:size].strip()
+    budget = int(p.edits * len(plain(item)))
+    texts = [f"some words {edit(item, n, 7 * n + s)} and others" for n in range(4) for s in range(12)]
+    for text, rows in zip(texts, Benchmark([(1, item)], p).find(texts)):
+        least = distance_within(plain(item), plain(text))
+        assert bool(rows) == (least <= budget)
+        if rows:
+            assert min(r[3] for r in rows) == least
+
+
+def test_items_below_a_gram_are_found_as_whole_words(spark):
+    items = [(1, "7 + 5?"), (2, "yes"), (3, "Yes "), (4, "?"), (5, " "), (6, "")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    texts = ["what is 7  +\n5? he asked", "YES", "yesterday, eyes", "so ?", "27 + 5?", "", "a yes yes b"]
+    docs = documents(spark, list(enumerate(texts)))
+    got = {r.doc_id: r.found["spans"] for r in findings(docs, bench).collect()}
+    spans = {k: sorted((s.item_id, s.start, s.end, s.edits) for s in v) for k, v in got.items()}
+    assert spans[0] == [(1, 8, 15, 0)] and texts[0][8:15] == "7  +\n5?"
+    assert spans[1] == [(2, 0, 3, 0), (3, 0, 3, 0)] and spans[3] == [(4, 3, 4, 0)]
+    assert spans[2] == spans[4] == spans[5] == []
+    assert spans[6] == [(2, 2, 5, 0), (2, 6, 9, 0), (3, 2, 5, 0), (3, 6, 9, 0)]
+
+
+def test_very_long_texts():
+    text = "word and other words " * 20_000 + ITEM + " more of them" * 10_000
+    rows = Benchmark([(7, ITEM), (8, "7 + 5?")], Decontamination()).find([text, "", text.upper()])
+    assert [[(r[0], r[3]) for r in x] for x in rows] == [[(7, 0)], [], [(7, 0)]]

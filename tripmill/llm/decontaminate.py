@@ -2,7 +2,8 @@
 
 A text region that becomes a benchmark item of m characters by at most k edits shares
 at least (m - q + 1) - k q of the item's q-grams with it, and the shared q-grams lie on
-diagonals (place in the text less place in the item) that differ by no more than k. So
+diagonals (place in the text less place in the item) that differ by no more than k. q is
+8, or less for an item whose budget would leave no q-gram to share. So
 shared q-grams are counted in diagonal bands of 2 (k + 1), which overlap by half: any
 such region lies whole in one band. Bands that reach the bound are aligned with the
 item inside the band, and kept if the edit distance is within the budget.
@@ -15,9 +16,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripmill.llm.common import saved
+
 FOUND = "items array<long>, spans array<struct<item_id: long, start: long, end: long, edits: int>>"
 
 
@@ -26,10 +29,10 @@ class Decontamination:
     """``edits``: share of an item's characters that may be edited.
 
     Characters are compared after A-Z went to lower case and each run of white space
-    to one blank. The budget of short items is lowered until the q-gram bound is at
-    least one shared q-gram; items of fewer than q characters match nothing.
-    ``part_chars`` bounds how much of the benchmark one pass holds: a larger benchmark
-    takes more passes.
+    to one blank. An item of fewer than q characters is found where it stands between
+    blanks or a text's ends, unedited. ``part_chars`` bounds how much of the benchmark
+    the driver and a task hold: a larger benchmark takes more passes, and the documents
+    with what was found so far are written between them.
     """
 
     q: int = 8
@@ -107,31 +110,69 @@ def banded_distance(item: np.ndarray, text: np.ndarray, low: int, width: int, mo
     return int(row[k]), int(begin[k]), int(low + len(item) + k)
 
 
+def item_codes(text: str | None) -> np.ndarray:
+    """An item's normalized code points, without blanks at its ends."""
+    codes, _ = characters(text or "")
+    codes = codes[1:] if len(codes) and codes[0] == 32 else codes
+    return codes[:-1] if len(codes) and codes[-1] == 32 else codes
+
+
 class Benchmark:
-    """The q-gram index of some benchmark items."""
+    """The indexes of some benchmark items: one for each q that their budgets ask for, and the short ones."""
 
     def __init__(self, items: list[tuple[int, str]], p: Decontamination) -> None:
-        self.p = p
+        self.p, self.short = p, {}
+        by_q: dict[int, list] = {}
+        for item_id, text in items:
+            codes = item_codes(text)
+            if len(codes) >= p.q:
+                by_q.setdefault(min(p.q, len(codes) // (int(p.edits * len(codes)) + 1)), []).append((item_id, codes))
+            elif len(codes):
+                self.short.setdefault(codes.tobytes(), []).append(item_id)
+        self.indexes = [Index(found, q, p) for q, found in sorted(by_q.items())]
+
+    def find(self, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
+        """(item_id, start, end, edits) for each text, in characters of the text."""
+        out: list[list[tuple[int, int, int, int]]] = [self._whole(t) if self.short else [] for t in texts]
+        for index in self.indexes:
+            for rows, more in zip(out, index.find(texts)):
+                rows += more
+        return out
+
+    def _whole(self, text: str) -> list[tuple[int, int, int, int]]:
+        """Short items as runs of whole words."""
+        codes, where = characters(text)
+        blank = codes == 32
+        starts = np.flatnonzero(~blank & np.append(True, blank[:-1])).tolist()
+        ends = (np.flatnonzero(~blank & np.append(blank[1:], True)) + 1).tolist()
+        found = []
+        for k, start in enumerate(starts):
+            for end in ends[k : k + self.p.q]:  # words are parted by a blank each
+                if end - start >= self.p.q:
+                    break
+                for item_id in self.short.get(codes[start:end].tobytes(), ()):
+                    found.append((item_id, int(where[start]), int(where[end - 1]) + 1, 0))
+        return found
+
+
+class Index:
+    """The q-gram index of items that share their q."""
+
+    def __init__(self, items: list[tuple[int, np.ndarray]], q: int, p: Decontamination) -> None:
+        self.p, self.q = p, q
         self.ids, self.codes, self.budget, self.bound = [], [], [], []
         grams, owner, place = [], [], []
-        for item_id, text in items:
-            codes, _ = characters(text or "")
-            codes = codes[1:] if len(codes) and codes[0] == 32 else codes
-            codes = codes[:-1] if len(codes) and codes[-1] == 32 else codes
-            found = gram_hashes(codes, p.q)
-            if not len(found):
-                continue
-            k = min(int(p.edits * len(codes)), (len(found) - 1) // p.q)
+        for item_id, codes in items:
+            found = gram_hashes(codes, q)
+            k = int(p.edits * len(codes))
             grams.append(found)
             owner.append(np.full(len(found), len(self.ids)))
             place.append(np.arange(len(found)))
             self.ids.append(item_id)
             self.codes.append(codes)
             self.budget.append(k)
-            self.bound.append(len(found) - k * p.q)
+            self.bound.append(len(found) - k * q)
         self.budget, self.bound = np.array(self.budget, np.int64), np.array(self.bound, np.int64)
-        if not self.ids:
-            return
         flat = np.concatenate(grams)
         order = np.argsort(flat, kind="stable")
         self.owner, self.place = np.concatenate(owner)[order], np.concatenate(place)[order]
@@ -142,8 +183,6 @@ class Benchmark:
     def find(self, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
         """(item_id, start, end, edits) for each text, in characters of the text."""
         out: list[list[tuple[int, int, int, int]]] = [[] for _ in texts]
-        if not self.ids:
-            return out
         batch, size = [], 0
         for n, text in enumerate(texts):
             batch.append(n)
@@ -169,14 +208,14 @@ class Benchmark:
         lengths = np.array([len(c) for c in codes])
         starts = np.cumsum(lengths) - lengths
         flat = np.concatenate(codes)
-        hashes = gram_hashes(flat, self.p.q)
+        hashes = gram_hashes(flat, self.q)
         spot = np.flatnonzero(self.maybe[hashes >> np.uint64(42)])
         known = np.searchsorted(self.grams, hashes[spot])
         known = np.minimum(known, len(self.grams) - 1)
         spot, known = (x[self.grams[known] == hashes[spot]] for x in (spot, known))
         doc = np.searchsorted(starts, spot, side="right") - 1
         # empty texts share their start with the next one; the last of equals holds the place
-        inside = spot - starts[doc] + self.p.q <= lengths[doc]
+        inside = spot - starts[doc] + self.q <= lengths[doc]
         spot, known, doc = spot[inside], known[inside], doc[inside]
         many = self.many[known]
         entry = np.repeat(self.first[known] - (np.cumsum(many) - many), many) + np.arange(many.sum())
@@ -226,8 +265,8 @@ def _finder(items: list[tuple[int, str]], p: Decontamination):
     return run
 
 
-def _parts(benchmark: DataFrame, p: Decontamination) -> list[list[tuple[int, str]]]:
-    """The benchmark in parts of a bounded size, each to be held by every task in turn."""
+def _parts(benchmark: DataFrame, p: Decontamination) -> Iterator[list[tuple[int, str]]]:
+    """The benchmark in parts of a bounded size, collected one at a time."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     items = items.filter("item_id is not null and text is not null").distinct()
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -247,14 +286,19 @@ def findings(docs: DataFrame, benchmark: DataFrame, p: Decontamination = Deconta
     """
     if name in docs.columns:
         raise ValueError(f"docs has a column {name} already")
-    found: Column | None = None
-    for items in _parts(benchmark, p):
-        one = _finder(items, p)(F.col("text").cast("string"))
-        more = one if found is None else F.struct(
-            F.concat(found["items"], one["items"]).alias("items"), F.concat(found["spans"], one["spans"]).alias("spans")
-        )
-        found = more
-    return docs.withColumn(name, found)
+    parts = _parts(benchmark, p)
+    items = next(parts)
+    text = F.col("text").cast("string")
+    while True:
+        one = _finder(items, p)(text)
+        if name in docs.columns:
+            had = F.col(name)
+            one = F.struct(F.concat(had["items"], one["items"]).alias("items"), F.concat(had["spans"], one["spans"]).alias("spans"))
+        docs = docs.withColumn(name, one)
+        items = next(parts, None)
+        if items is None:
+            return docs
+        docs = saved(docs)  # neither the driver nor a task holds two parts
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, p: Decontamination = Decontamination()) -> DataFrame:
