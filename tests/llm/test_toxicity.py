@@ -2,7 +2,7 @@ import numpy as np
 from helpers import documents, fold, prose
 
 from tripmill.llm.common import table
-from tripmill.llm.toxicity import ToxicityModel, features, fit, toxicity, without_toxic
+from tripmill.llm.toxicity import ToxicityModel, features, fit, toxicity, train, without_toxic
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -69,3 +69,12 @@ def test_the_risk_corrects_for_positives_among_the_unlabelled():
     weights = fit(positive, unlabelled, 1 / 3, m)
     chance = lambda text: 1 / (1 + np.exp(-(weights[features(text, 10)].sum() + weights[-1])))
     assert chance("bad") > 0.7 > 0.3 > chance("good")
+
+
+def test_the_model_does_not_depend_on_task_order(spark, table):
+    docs, labels = table("documents"), table("labels")
+    few = ToxicityModel(positives=20, unlabelled=100)
+    twice = docs.union(docs.limit(50))
+    models = {train(df, labels, few) for df in (docs, docs.repartition(7), docs.orderBy("n_chars"), docs.coalesce(1))}
+    assert len(models) == 1 and None not in models
+    assert train(twice.repartition(5), labels, few) == train(twice.coalesce(1), labels, few)

@@ -105,12 +105,23 @@ def _trainer(m: ToxicityModel, prior: float):
                 words = np.sort(features(text, m.bits))
                 found[toxic][words.tobytes()] = words
         if all(found):
-            positive, unlabelled = (list(x.values()) for x in reversed(found))
+            # in an order of their own: sums of floats must not depend on that of the tasks
+            positive, unlabelled = ([x[key] for key in sorted(x)] for x in reversed(found))
             yield pd.DataFrame({"weights": [fit(positive, unlabelled, prior, m).tobytes()]})
 
     return run
 
 
+def _bounded(rows: DataFrame, most: int) -> DataFrame:
+    """At most so many different (doc_id, text), by hash: the same ones in every run, however often rows repeat."""
+    keyed = rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    keys = keyed.select("doc_id", "text_hash").distinct()
+    keys = keys.orderBy(F.xxhash64("doc_id", "text_hash"), "doc_id", "text_hash").limit(most)
+    keys = keys.select(F.col("doc_id").alias("key_id"), F.col("text_hash").alias("key_hash"))
+    both = keyed.join(F.broadcast(keys), F.expr("doc_id = key_id and text_hash = key_hash"))
+    return both.groupBy("doc_id", "text_hash").agg(F.min("text").alias("text"))
+
+
 def train(docs: DataFrame, labels: DataFrame, m: ToxicityModel = ToxicityModel()) -> bytes | None:
     """Weights learnt from the training folds; None without a toxic or an unlabelled text.
 
@@ -130,11 +141,11 @@ def train(docs: DataFrame, labels: DataFrame, m: ToxicityModel = ToxicityModel()
     rank = F.xxhash64(F.lit("positive"), "labelled")
     chosen = known.filter("toxic > 0").select("labelled").orderBy(rank, "labelled").limit(m.positives)
     # at most m.positives ids: small whatever the labels' size
-    confirmed = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled")).limit(2 * m.positives)
+    confirmed = _bounded(docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled")), 2 * m.positives)
     total = docs.count()
     share = min(1.0, m.unlabelled / max(1, total))
     drawn = F.pmod(F.xxhash64(F.lit("unlabelled"), "doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
-    some = docs.filter(drawn).limit(2 * m.unlabelled)
+    some = _bounded(docs.filter(drawn), 2 * m.unlabelled)
     sample = confirmed.select("text", F.lit(True).alias("toxic")).union(some.select("text", F.lit(False).alias("toxic")))
     # the sample is bounded by the parameters, so one task trains on all of it
     found = sample.coalesce(1).mapInPandas(_trainer(m, prior), "weights binary").collect()
