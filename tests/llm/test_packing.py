@@ -95,3 +95,42 @@ def test_local_search_empties_bins_that_best_fit_leaves():
         assert all(bins.fill(k) == sum(sizes[i] for i in x) <= 100 for k, x in enumerate(bins.items))
         assert sum(bins.fill(k) ** 2 for k in range(len(bins.items))) >= before
         assert sum(bool(x) for x in bins.items) <= used
+
+
+def least_bins(sizes, capacity):
+    """By trying: the fewest bins for a few sizes."""
+    best = len(sizes)
+
+    def place(k, free):
+        nonlocal best
+        if len(free) >= best:
+            return
+        if k == len(sizes):
+            best = len(free)
+            return
+        for room in sorted({r for r in free if r >= sizes[k]}):
+            rest = list(free)
+            rest[rest.index(room)] -= sizes[k]
+            place(k + 1, rest)
+        place(k + 1, [*free, capacity - sizes[k]])
+
+    sizes = sorted(sizes, reverse=True)
+    place(0, [])
+    return best
+
+
+def test_small_sets_against_every_packing():
+    draw, lost = random.Random(3), 0
+    for _ in range(60):
+        sizes = [draw.randrange(1, 60) for _ in range(9)]
+        bins = Bins(sizes, 100)
+        bins.best_fit()
+        bins.improve(60)
+        lost += sum(bool(x) for x in bins.items) - least_bins(sizes, 100)
+    assert lost <= 1
+
+
+def test_a_very_long_text_is_cut_whole(spark):
+    text = "many words, 12 of them: " * 20_000
+    found = packed(documents(spark, [(1, text), (2, "x")])).collect()
+    check(found, {1: text, 2: "x"}, 2048)

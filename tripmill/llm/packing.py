@@ -34,7 +34,9 @@ class Packing:
     vocabulary as ranks; by default the public byte-level BPE installed on each executor.
 
     ``group``: pieces packed together; ``fan_in``: groups that meet in one of the next
-    level; ``patience``: bins tried without success before a search ends.
+    level; ``patience``: bins tried without success before a search ends; ``widest``: of
+    the other bins, the roomiest that two-for-one exchanges look at. The last two bound the
+    search and can cost sequences, never pieces.
     """
 
     capacity: int = 2048
@@ -44,6 +46,7 @@ class Packing:
     group: int = 20_000
     fan_in: int = 50
     patience: int = 60
+    widest: int = 200
 
 
 class Encoder:
@@ -113,8 +116,8 @@ def pieces(docs: DataFrame, p: Packing = Packing(), with_ids: bool = False) -> D
 class Bins:
     """Bins of one group: their items (indexes into ``sizes``) and free space."""
 
-    def __init__(self, sizes: list[int], capacity: int) -> None:
-        self.sizes, self.capacity = sizes, capacity
+    def __init__(self, sizes: list[int], capacity: int, widest: int = 200) -> None:
+        self.sizes, self.capacity, self.widest = sizes, capacity, widest
         self.items: list[list[int]] = []
         self.free: list[int] = []
 
@@ -230,7 +233,7 @@ class Bins:
 def _packed(p: Packing, level: int, last: bool):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["length", "pack_row"], ascending=[False, True], kind="stable").reset_index(drop=True)
-        bins = Bins(rows["length"].astype(int).tolist(), p.capacity)
+        bins = Bins(rows["length"].astype(int).tolist(), p.capacity, p.widest)
         bins.best_fit()
         bins.improve(p.patience)
         passed: set[int] = set()
