@@ -103,3 +103,17 @@ def test_components_of_random_graphs(spark):
         touched = {x for a, b in pairs if a != b for x in (a, b)}
         assert got == {n: want[n] for n in touched}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_a_repeated_id_without_words_in_open_buckets(spark):
+    """Families of more members than are joined pairwise, with rows of their ids that have no words."""
+    base = prose(77, 60).split()
+    rows = []
+    for k in range(40):
+        text = list(base)
+        text[k] = f"own{k}"
+        rows.append((k, " ".join(text)))
+    for extra in (None, "", " \n "):
+        got = {(r.doc_id, r.n_shingles): r for r in near_duplicates(documents(spark, rows + [(5, extra), (7, "other words here")])).collect()}
+        assert got[5, 0].component_id == got[5, 56].component_id
+        assert len(got) == 42

@@ -27,6 +27,12 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def fitted(df: DataFrame, rows: int, task_rows: int = 50_000) -> DataFrame:
+    """``df`` in no more partitions than its ``rows`` need: a small table shuffled into
+    very many partitions costs more files and tasks than work. Never more than it has."""
+    return df.coalesce(max(1, -(-rows // task_rows)))
+
+
 def numbered(df: DataFrame, name: str) -> DataFrame:
     """The rows written once, with consecutive numbers from 0 in the order they have now.
 

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import WordHashes, byte_texts, saved, shingle_hashes, words
+from tripmill.llm.common import WordHashes, byte_texts, fitted, saved, shingle_hashes, words
 from tripmill.llm.components import components
 
 FEW = 16  # members up to which all pairs of a bucket are joined
@@ -122,6 +122,15 @@ def _signatures(p: NearDuplicates):
     return run
 
 
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, digest, text) of the rows that have words, with the signatures' digest."""
+    for batch in batches:
+        found = [words(text) for text in byte_texts(batch.column(1))]
+        digests = pa.array([xxhash.xxh3_128_digest(b" ".join(w)) if w else None for w in found], pa.binary())
+        columns = [batch.column(0), digests, batch.column(1)]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "digest", "text"]).filter(digests.is_valid())
+
+
 def _same_set(left: bytes, right: bytes, p: NearDuplicates) -> bool:
     a, b = (_sets(words(t), p.shingle) for t in (left, right))
     both = len(a & b)
@@ -197,12 +206,12 @@ def near_duplicates(docs: DataFrame, p: NearDuplicates = NearDuplicates()) -> Da
     marked = saved(docs.mapInArrow(_signatures(p), SIGNATURE))
     usable = marked.filter("doc_id is not null and digest is not null")
     classes = usable.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    member = usable.select("doc_id", "digest").join(classes, "digest").select("doc_id", "rep").distinct()
+    member = saved(usable.select("doc_id", "digest").join(classes, "digest").select("doc_id", "rep").distinct())
 
     heads = saved(
         usable.join(classes.select(F.col("digest").alias("head"), "rep"), F.expr("digest = head and doc_id = rep"))
-        .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch", "bands")
-        .dropDuplicates(["id", "n", "sketch"])
+        .select(F.col("doc_id").alias("id"), "digest", F.col("n_shingles").alias("n"), "sketch", "bands")
+        .dropDuplicates(["id", "digest"])
     )
     entries = heads.select("id", F.posexplode("bands").alias("band", "value")).select(
         F.xxhash64("band", "value").alias("bucket"), "band", "id"
@@ -215,15 +224,16 @@ def near_duplicates(docs: DataFrame, p: NearDuplicates = NearDuplicates()) -> Da
 
     facts = heads.select("id", "n", "sketch")
     wanted = shared.select("id").distinct()
-    texts = saved(docs.join(wanted, F.col("doc_id") == F.col("id"), "left_semi"))
+    texts = docs.join(wanted, F.col("doc_id") == F.col("id"), "left_semi")
+    texts = saved(texts.mapInArrow(_digests, "doc_id long, digest binary, text string"))
 
-    def near(pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) whose sizes and sketches allow the similarity."""
+    def near(pairs: DataFrame, rows: int) -> DataFrame:
+        """Pairs (a, b), no more than ``rows``, whose sizes and sketches allow the similarity."""
         left = facts.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
         right = facts.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
         apart = F.expr("aggregate(zip_with(s_a, s_b, (x, y) -> bit_count(x ^ y)), 0, (t, x) -> t + x)")
         return (
-            pairs.join(left, "a")
+            fitted(fitted(pairs, rows).join(left, "a"), rows)
             .join(right, "b")
             .filter(f"100 * least(n_a, n_b) >= {p.similarity} * greatest(n_a, n_b)")
             .filter(apart <= p.most_bits)
@@ -241,7 +251,7 @@ def near_duplicates(docs: DataFrame, p: NearDuplicates = NearDuplicates()) -> Da
     several = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("last"))
     several = several.filter("a <> last").select(F.col("doc_id").alias("node"), "a")
     joined = member.join(several, F.expr("doc_id = node")).select("a", F.col("rep").alias("b"))
-    links = saved(confirmed(near(stars)).union(joined))
+    links = saved(confirmed(near(stars, shared.count())).union(joined))
     label = components(links)
 
     # what the stars leave open: buckets that still hold several components
@@ -255,6 +265,8 @@ def near_duplicates(docs: DataFrame, p: NearDuplicates = NearDuplicates()) -> Da
         "open", "members", F.col("major.comp").alias("main"), F.expr("members - major.size").alias("others")
     )
     rest = saved(placed.join(state, F.expr("bucket = open")).drop("open"))
+    # a pair of a small bucket needs one of its members, of which each has few others
+    pairs = rest.count() * FEW
     small = rest.filter(f"members <= {FEW}")
     other = small.select(F.col("bucket").alias("bucket_b"), F.col("id").alias("b"), F.col("comp").alias("comp_b"))
     few = small.select("bucket", F.col("id").alias("a"), "comp").join(
@@ -275,13 +287,15 @@ def near_duplicates(docs: DataFrame, p: NearDuplicates = NearDuplicates()) -> Da
         "i", F.explode(F.expr("sequence(0, i_parts - 1)"))
     )
     columns = ["bucket", "band", "i", "j", "side", "id", "comp"]
-    contents = heads.select(F.col("id").alias("node"), "n", "sketch", "bands").join(
-        texts.select(F.col("doc_id").alias("of"), "text"), F.expr("node = of")
+    # an id may have several texts, also ones without words
+    contents = heads.select(F.col("id").alias("node"), "digest", "n", "sketch", "bands").join(
+        texts.select(F.col("doc_id").alias("of"), F.col("digest").alias("of_text"), "text"),
+        F.expr("node = of and digest = of_text"),
     )
     sides = left.select(*columns).union(right.select(*columns)).join(contents, F.expr("id = node"))
     sides = sides.select(*columns, "n", "sketch", "bands", "text").groupBy("bucket", "i", "j")
     many = sides.applyInPandas(_open_links(p), "a long, b long")
-    late = confirmed(near(few.select("a", "b").distinct()).union(many).distinct())
+    late = confirmed(near(few.select("a", "b").distinct(), pairs).union(many).distinct())
     label = components(links.union(late))
 
     found = member.join(label.withColumnRenamed("id", "node"), F.expr("rep = node"), "left")
