@@ -75,4 +75,47 @@ least as (select a as doc_id, min(b) as component_id from reach group by 1)
 select doc_id, n_shingles, component_id, doc_id = component_id as kept from sizes join least using (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op4_secret_scan": OP4, "op6_minhash_near_dups": OP6}
+
+
+def _hex_number(text: str, digits: int) -> str:
+    return " + ".join(f"(instr('0123456789abcdef', substr({text}, {k + 1}, 1)) - 1) * {16 ** (digits - 1 - k)}" for k in range(digits))
+
+
+# crc32 of a word by its table of 256 remainders, which the rule of the checksum gives
+CRC_TABLE = """list_transform(range(0, 256), lambda n: list_reduce(list_prepend(n, range(0, 8)),
+    lambda c, k: case when c % 2 = 1 then xor(3988292384::bigint, c >> 1) else c >> 1 end))"""
+OP11 = f"""
+with texts as (
+  select row_number() over () as row, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents),
+wanted as (
+  select regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark),
+own as (select row, unnest(w) as word from texts),
+other as (select unnest(w) as word from wanted),
+spelled as (
+  select word, lower(hex(word)) as h from (select word from own union select word from other)),
+hashed as (
+  select word, xor(4294967295::bigint, list_reduce(
+      list_prepend(4294967295::bigint, list_transform(range(0, len(h) // 2), lambda i: {_hex_number("substr(h, 2 * i + 1, 2)", 2)})),
+      lambda c, b: xor(c >> 8, crc[xor(c, b) % 256 + 1]))) % 10000 as bucket
+  from spelled, (select {CRC_TABLE} as crc)),
+s as (select bucket, count(*) as n from own join hashed using (word) group by 1),
+t as (select bucket, count(*) as n from other join hashed using (word) group by 1),
+sizes as (select (select coalesce(sum(n), 0) from s) + 10000 as s_all, (select coalesce(sum(n), 0) from t) + 10000 as t_all),
+gains as (
+  select b.bucket, cast(floor(1000 * ln((cast(coalesce(t.n, 0) + 1 as double) * s_all) / (cast(coalesce(s.n, 0) + 1 as double) * t_all))) as bigint) as gain
+  from (select distinct bucket from hashed) b left join s on s.bucket = b.bucket left join t on t.bucket = b.bucket, sizes),
+weights as (select row, sum(gain) as weight from own join hashed using (word) join gains using (bucket) group by row),
+scored as (
+  select row, doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(weight, 0) as bigint) as weight,
+    cast(coalesce(weight, 0) as bigint) + cast(floor(-1000 * ln(-ln(({_hex_number("sha256('2024:' || coalesce(cast(doc_id as varchar), ''))", 8)} + 0.5::double) / 4294967296))) as bigint) as score
+  from texts left join weights using (row)),
+ordered as (
+  select row, row_number() over (order by score desc, doc_id) as place, count(*) over () as able from scored where n_words >= 20)
+select doc_id, n_words as n_features, weight, score, case when place <= able * 10 // 100 then place end as rank, n_words
+from scored left join ordered using (row)
+"""
+
+ORACLES: dict[str, str] = {"op4_secret_scan": OP4, "op6_minhash_near_dups": OP6, "op11_importance_resampling": OP11}
