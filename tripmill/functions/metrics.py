@@ -17,13 +17,16 @@ from pyspark.sql import functions as F
 from tripmill.functions.scalars import as_column
 
 UNIT = 10_000  # the fast path counts ten-thousandths
-CARRY = 1_000_000  # and splits the count, so that neither half can overflow a long
+CARRY_BITS = 20  # and splits the count, so that neither half can overflow a long
 FAST_BELOW = 9e10
 WIDE = "decimal(37, 12)"
 
 
 def exact_sum(value: Column | str, window: WindowSpec | None = None) -> Column:
-    """The sum as a decimal with twelve digits after the point; NULL without known values."""
+    """The sum as a decimal with twelve digits after the point; NULL without known values.
+
+    NaN and the infinities are no known values: they are neither summed nor counted.
+    """
     value = as_column(value)
     plain = value.cast("double")
     units = F.rint(plain * F.lit(float(UNIT)))
@@ -33,10 +36,10 @@ def exact_sum(value: Column | str, window: WindowSpec | None = None) -> Column:
     def summed(part: Column) -> Column:
         return F.sum(part) if window is None else F.sum(part).over(window)
 
-    high = summed(F.floor(count / F.lit(CARRY)))
-    low = summed(F.pmod(count, F.lit(CARRY)))
-    rest = summed(F.when(value.isNotNull() & ~fast, value.cast(WIDE)))
-    whole = high.cast("decimal(20, 0)") * F.lit(CARRY).cast("decimal(7, 0)") + low.cast("decimal(20, 0)")
+    high = summed(F.shiftright(count, CARRY_BITS))
+    low = summed(count.bitwiseAND(F.lit((1 << CARRY_BITS) - 1)))
+    rest = summed(F.when((F.abs(plain) < F.lit(float("inf"))) & ~fast, value.cast(WIDE)))
+    whole = high.cast("decimal(20, 0)") * F.lit(1 << CARRY_BITS).cast("decimal(7, 0)") + low.cast("decimal(20, 0)")
     narrow = (whole * F.lit("0.0001").cast("decimal(5, 4)")).cast(WIDE)
     zero = F.lit(0).cast(WIDE)
     both = F.coalesce(narrow, zero) + F.coalesce(rest.cast(WIDE), zero)
@@ -56,10 +59,18 @@ def total(value: Column | str, digits: int = 2) -> Column:
     return F.round(exact_sum(value), digits).cast("double")
 
 
+def known_count(value: Column | str) -> Column:
+    """How many values a sum holds: all but NULL, NaN and the infinities, which count as unknown."""
+    return F.count_if(F.abs(as_column(value).cast("double")) < F.lit(float("inf")))
+
+
+def mean_from(total: Column, known: Column, digits: int) -> Column:
+    return F.round(_units(total) / (F.nullif(known, F.lit(0)) * F.lit(float(UNIT))), digits)
+
+
 def mean(value: Column | str, digits: int) -> Column:
     """Mean over known values; NULL for a group without any."""
-    value = as_column(value)
-    return F.round(_units(exact_sum(value)) / (F.nullif(F.count(value), F.lit(0)) * F.lit(float(UNIT))), digits)
+    return mean_from(exact_sum(value), known_count(value), digits)
 
 
 def whole_total(value: Column | str) -> Column:
@@ -74,9 +85,13 @@ def distinct_count(value: Column | str) -> Column:
     return F.count_distinct(as_column(value))
 
 
+def ratio_from(top: Column, bottom: Column, digits: int = 2) -> Column:
+    return F.round(_units(top) / F.nullif(_units(bottom), F.lit(0.0)), digits)
+
+
 def ratio_of_totals(top: Column | str, bottom: Column | str, digits: int = 2) -> Column:
     """Quotient of two sums; NULL when the lower sum is zero."""
-    return F.round(_units(exact_sum(top)) / F.nullif(_units(exact_sum(bottom)), F.lit(0.0)), digits)
+    return ratio_from(exact_sum(top), exact_sum(bottom), digits)
 
 
 def running_exact(value: Column | str, window: WindowSpec, digits: int = 2) -> Column:
@@ -126,6 +141,7 @@ def measures(names: Mapping[str, str] | Iterable[str], prefix: str = "") -> list
     return [REGISTRY[metric](prefix).alias(alias) for metric, alias in named.items()]
 
 
+# The column names that the tables and the two bundles publish.
 REVENUE_BUNDLE = {
     "revenue": "total_revenue",
     "mean_cost": "avg_fare_per_trip",

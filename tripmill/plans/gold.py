@@ -1,18 +1,20 @@
-"""Staging, dimensions, the trip fact and its three aggregates."""
+"""Staging, dimensions, the trip fact, its states and its three aggregates."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.functions import scalars as S
+from tripmill.functions.holidays import is_holiday
 from tripmill.functions.metrics import band_counts, measures
+from tripmill.functions.states import partial_states, state_bands, state_measures
 from tripmill.operators import trends as T
 from tripmill.operators.enrich import star_join
 from tripmill.operators.schema import conform
 from tripmill.plans.silver import TRIP_KEYS
 
-# Federal holidays of 2024 (other years are given by the caller), borough groups, hub names, airport patterns.
+# Federal holidays of 2024 as the tables list them, borough groups, hub names, airport patterns.
 US_HOLIDAYS = [
     "2024-01-01",
     "2024-01-15",
@@ -104,12 +106,13 @@ def staging_trips(silver: DataFrame, casts: dict[str, str] | None = None) -> Dat
 # --- dimensions ---------------------------------------------------------------
 
 
-def dim_date(spine: DataFrame, as_of: str, holidays: list[str] = US_HOLIDAYS) -> DataFrame:
+def dim_date(spine: DataFrame, as_of: str, holidays: list[str] | None = None) -> DataFrame:
     """Calendar attributes of each day.
 
     Weeks start on Monday (``week_of_year``, ``week_start_date``), while
     ``day_of_week`` counts from Sunday = 1. ``as_of`` settles the current-period
-    flags instead of the clock.
+    flags instead of the clock. Holidays are the listed dates, or those of the federal
+    rules in any year.
     """
     day = F.col("calendar_date")
     today = F.lit(as_of).cast("date")
@@ -130,7 +133,7 @@ def dim_date(spine: DataFrame, as_of: str, holidays: list[str] = US_HOLIDAYS) ->
         F.dayofmonth(day).alias("day_of_month"),
         F.dayofyear(day).alias("day_of_year"),
         S.is_weekend(day).alias("is_weekend"),
-        day.isin([F.lit(h).cast("date") for h in holidays]).alias("is_us_holiday"),
+        (is_holiday(day) if holidays is None else _listed(day, holidays)).alias("is_us_holiday"),
         F.last_day(day).alias("last_day_of_month"),
         F.trunc(day, "week").alias("week_start_date"),
         F.trunc(day, "month").alias("month_start_date"),
@@ -140,6 +143,10 @@ def dim_date(spine: DataFrame, as_of: str, holidays: list[str] = US_HOLIDAYS) ->
     )
 
 
+def _listed(day: Column, holidays: list[str]) -> Column:
+    return day.isin([F.lit(h).cast("date") for h in holidays])
+
+
 def dim_zone(zones: DataFrame) -> DataFrame:
     zone = F.col("Zone")
     return zones.select(
@@ -156,6 +163,7 @@ def dim_zone(zones: DataFrame) -> DataFrame:
 # --- fact ---------------------------------------------------------------------
 
 
+# Column names of the fact.
 FACT_COLUMNS = [
     "trip_id",
     "date_key",
@@ -219,20 +227,30 @@ def stamped(df: DataFrame, name: str, at: str | None) -> DataFrame:
 
 
 # --- aggregates ---------------------------------------------------------------
+# Each takes the fact, or with ``of=state_measures`` the stored states of its trips.
+
+# Grains and published names of the three tables.
+HOURLY_GRAIN = [
+    "pickup_date",
+    "pickup_month",
+    "pickup_hour",
+    "is_weekend",
+    "pickup_location_id",
+    "pickup_borough",
+    "pickup_zone",
+    "pickup_service_zone",
+]
+DAILY_GRAIN = ["pickup_date", "pickup_month", "is_weekend", "pickup_borough"]
+PAYMENT_GRAIN = ["pickup_month", "pickup_borough", "is_weekend", "payment_type_label"]
 
 
-def agg_hourly_zone(fact: DataFrame, at: str | None = None) -> DataFrame:
-    grain = [
-        "pickup_date",
-        "pickup_month",
-        "pickup_hour",
-        "is_weekend",
-        "pickup_location_id",
-        "pickup_borough",
-        "pickup_zone",
-        "pickup_service_zone",
-    ]
-    columns = measures(
+def trip_states(fact: DataFrame) -> DataFrame:
+    """The one scan of the fact that all aggregates need."""
+    return partial_states(fact, "tip_pct", TIP_EDGES, TIP_BANDS)
+
+
+def agg_hourly_zone(fact: DataFrame, at: str | None = None, of=measures) -> DataFrame:
+    columns = of(
         {
             "trips": "total_trips",
             "passengers": "total_passengers",
@@ -250,11 +268,11 @@ def agg_hourly_zone(fact: DataFrame, at: str | None = None) -> DataFrame:
             "revenue_per_mile": "revenue_per_mile",
         }
     )
-    return stamped(fact.groupBy(*grain).agg(*columns), "aggregated_at", at)
+    return stamped(fact.groupBy(*HOURLY_GRAIN).agg(*columns), "aggregated_at", at)
 
 
-def daily_borough_base(fact: DataFrame) -> DataFrame:
-    columns = measures(
+def daily_borough_base(fact: DataFrame, of=measures) -> DataFrame:
+    columns = of(
         {
             "trips": "total_trips",
             "revenue": "total_revenue",
@@ -269,8 +287,7 @@ def daily_borough_base(fact: DataFrame) -> DataFrame:
             "pickup_zones": "active_pickup_zones",
         }
     )
-    grain = ["pickup_date", "pickup_month", "is_weekend", "pickup_borough"]
-    return fact.groupBy(*grain).agg(*columns)
+    return fact.groupBy(*DAILY_GRAIN).agg(*columns)
 
 
 def week_over_week(daily: DataFrame, mode: str = "rows") -> DataFrame:
@@ -307,28 +324,47 @@ def borough_ranks(daily: DataFrame) -> DataFrame:
     )
 
 
-def agg_daily_borough(fact: DataFrame, at: str | None = None, mode: str = "rows") -> DataFrame:
-    daily = daily_borough_base(fact)
-    return stamped(borough_ranks(month_to_date(week_over_week(daily, mode))), "aggregated_at", at)
+def daily_trends(daily: DataFrame, mode: str = "rows") -> DataFrame:
+    """Changes, running totals and ranks beside the daily totals."""
+    return borough_ranks(month_to_date(week_over_week(daily, mode)))
+
+
+def agg_daily_borough(fact: DataFrame, at: str | None = None, mode: str = "rows", of=measures) -> DataFrame:
+    return stamped(daily_trends(daily_borough_base(fact, of), mode), "aggregated_at", at)
 
 
-def payment_base(fact: DataFrame) -> DataFrame:
-    columns = measures(
+def payment_base(fact: DataFrame, of=measures) -> DataFrame:
+    columns = of(
         {"trips": "trip_count", "revenue": "total_revenue", "tips": "total_tips", "mean_tip_pct": "avg_tip_pct"}
     )
-    grain = ["pickup_month", "pickup_borough", "is_weekend", "payment_type_label"]
-    return fact.groupBy(*grain).agg(*columns, *band_counts("tip_pct", TIP_EDGES, TIP_BANDS))
+    bands = state_bands(TIP_BANDS) if of is state_measures else band_counts("tip_pct", TIP_EDGES, TIP_BANDS)
+    return fact.groupBy(*PAYMENT_GRAIN).agg(*columns, *bands)
 
 
-def agg_payment_trends(fact: DataFrame, at: str | None = None) -> DataFrame:
-    segment = ["pickup_month", "pickup_borough", "is_weekend"]
-    shared = T.share_of(payment_base(fact), segment, "trip_count", "payment_type_share_pct")
+def agg_payment_trends(fact: DataFrame, at: str | None = None, of=measures) -> DataFrame:
+    segment = [c for c in PAYMENT_GRAIN if c != "payment_type_label"]
+    shared = T.share_of(payment_base(fact, of), segment, "trip_count", "payment_type_share_pct")
     return stamped(shared, "aggregated_at", at)
 
 
 # --- star ---------------------------------------------------------------------
 
 
+def pruned_star(fact: DataFrame, dates: DataFrame, zones: DataFrame, days: Column) -> DataFrame:
+    """The star of the trips on the calendar days that ``days`` selects.
+
+    The calendar joins on the month that the written fact is partitioned by, beside the
+    day, so Spark hands the months that the filter leaves to the fact's scan at run time
+    and other partitions are not read.
+    """
+    chosen = dates.where(days).select("date_key", "calendar_date")
+    chosen = chosen.select(
+        F.col("date_key").alias("_day"), S.year_month("calendar_date").alias("_part")
+    )
+    met = fact.join(chosen, (F.col("pickup_year_month") == F.col("_part")) & (F.col("date_key") == F.col("_day")))
+    return trip_star(met.drop("_day", "_part"), dates, zones)
+
+
 def trip_star(fact: DataFrame, dates: DataFrame, zones: DataFrame) -> DataFrame:
     """The fact with calendar flags and the zone flags of both ends."""
     calendar = {c: c for c in ("quarter_label", "month_name", "day_name", "is_us_holiday")}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tripmill.functions import metrics as M
 from tripmill.functions.scalars import pct_change
+from tripmill.functions.states import mean_of, state_measures
 from tripmill.operators import trends as T
 
 
@@ -59,21 +60,18 @@ def third_quarter_growth(daily: DataFrame) -> DataFrame:
     )
 
 
-def airport_revenue_per_mile(fact: DataFrame) -> DataFrame:
-    """B4: revenue per mile of airport trips against the others."""
-    return fact.groupBy("is_airport_trip").agg(
-        M.rows().alias("trips"),
-        M.total("total_cost").alias("revenue"),
-        M.ratio_of_totals("total_cost", "trip_distance").alias("revenue_per_mile"),
-    )
+def airport_revenue_per_mile(fact: DataFrame, of=M.measures) -> DataFrame:
+    """B4: revenue per mile of airport trips against the others; from trips, or their states."""
+    return fact.groupBy("is_airport_trip").agg(*of(["trips", "revenue", "revenue_per_mile"]))
 
 
-def weekend_hour_durations(fact: DataFrame) -> DataFrame:
-    """B5: weekend hours by mean duration, from trips rather than from hourly means."""
+def weekend_hour_durations(fact: DataFrame, of=M.measures) -> DataFrame:
+    """B5: weekend hours by mean duration, from trips or their states rather than from hourly means."""
+    mean = mean_of("trip_duration_min", 2) if of is state_measures else M.mean("trip_duration_min", 2)
     return (
         fact.where("is_weekend")
         .groupBy("pickup_hour")
-        .agg(M.mean("trip_duration_min", 2).alias("avg_duration_min"), M.rows().alias("trips"))
+        .agg(mean.alias("avg_duration_min"), *of(["trips"]))
         .orderBy(F.desc("avg_duration_min"), "pickup_hour")
     )
 

@@ -13,20 +13,23 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import lru_cache, reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructField, StructType
 
 from tripmill.functions.scalars import year_month
 from tripmill.operators.checks import enforce, run_checks
 from tripmill.operators.rules import accepted, rejected
 from tripmill.plans import gold as G
+from tripmill.plans import increment
 from tripmill.plans.quality import gold_checks, silver_checks
 from tripmill.plans.silver import YEAR, dedup_trips, derive_trips, enrich_trips, tag_trips
 from tripmill.session import pin_session
+from tripmill.sinks import catalog
 from tripmill.sinks import tables as K
+from tripmill.sinks.layout import zordered_by_quantiles
 from tripmill.sources.bronze import ALL_MONTHS, read_bronze, read_lookup
+from tripmill.sources.inventory import wider
 from tripmill.sources.schemas import BRONZE_TRIPS, RUN_LOG, ZONE_LOOKUP
 from tripmill.sources.spine import date_spine
 
@@ -36,16 +39,27 @@ AGGREGATES = {
     "agg_daily_borough": G.agg_daily_borough,
     "agg_payment_trends": G.agg_payment_trends,
 }
+#: Aggregates that are stored by pickup month, which is no column of theirs.
+BY_PICKUP_MONTH = ["agg_hourly_zone", "agg_daily_borough"]
 GOLD_TABLES = ["dim_date", "dim_zone", "fact_trips", *AGGREGATES]
 NO_MONTH = "unknown"  # partition of trips without a pickup time
 
 
 @dataclass(frozen=True)
 class Lake:
-    """Where the tables live."""
+    """Where the tables live.
+
+    ``zorder`` lays Silver out by time and borough at once, for an extra pass of
+    sketches. With a ``database`` tables are read by name through the catalog.
+    """
 
     root: str
     fmt: str = K.FORMAT
+    zorder: bool = False
+    database: str | None = None
+
+    def named(self, name: str) -> str:
+        return f"{self.database}.{name.replace('/', '_')}"
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -74,6 +88,10 @@ class Lake:
     def coverage(self) -> str:
         return self.path("silver/coverage")
 
+    @property
+    def columns(self) -> str:
+        return self.path("silver/columns")
+
     @property
     def run_log(self) -> str:
         return self.path("silver/run_log")
@@ -104,13 +122,27 @@ def table_schemas(spark: SparkSession) -> dict[str, StructType]:
         "gold/dim_date": G.dim_date(date_spine(spark, "2024-01-01", "2024-01-01"), "2024-01-01"),
         "gold/dim_zone": G.dim_zone(zones),
         "gold/fact_trips": fact,
+        "gold/trip_states": G.trip_states(fact),
         **{f"gold/{name}": build(fact, now) for name, build in AGGREGATES.items()},
     }
+    for name in BY_PICKUP_MONTH:
+        frames[f"gold/{name}"] = frames[f"gold/{name}"].withColumn(increment.PART, F.lit(""))
     return {**{name: frame.schema for name, frame in frames.items()}, "silver/run_log": RUN_LOG}
 
 
 #: Tables that also hold whatever further columns Bronze has.
 OPEN_TABLES = ("silver/trips", "silver/rejected")
+PARTITIONED_BY = {
+    "silver/trips": ["pickup_year_month"],
+    "silver/rejected": ["source_month"],
+    "silver/coverage": ["source_month"],
+    "gold/fact_trips": ["pickup_year_month"],
+    "gold/trip_states": ["pickup_year_month"],
+    "gold/agg_hourly_zone": ["pickup_year_month"],
+    "gold/agg_daily_borough": ["pickup_year_month"],
+    "gold/agg_payment_trends": ["pickup_month"],
+}
+COLUMNS = "table_name string, column_name string, column_type string"
 
 
 def read(spark: SparkSession, lake: Lake, path: str) -> DataFrame:
@@ -118,27 +150,45 @@ def read(spark: SparkSession, lake: Lake, path: str) -> DataFrame:
     name = path.removeprefix(f"{lake.root}/")
     known = table_schemas(spark).get(name)
     if known is not None and lake.fmt == K.FORMAT:
-        if name in OPEN_TABLES and _exists(spark, lake, path):
-            found = _found_schema(spark, path)
-            known = StructType([*known.fields, *[f for f in found.fields if f.name not in known.names]])
+        if name in OPEN_TABLES:
+            known = StructType([*known.fields, *further_columns(spark, lake, name).fields])
+        if lake.database:
+            return catalog.table(spark, lake.named(name), known, path, PARTITIONED_BY.get(name, []), lake.fmt)
         reader = reader.schema(known)
     return reader.load(path)
 
 
-def _found_schema(spark: SparkSession, path: str) -> StructType:
-    """All columns of a table's files, from their footers; none for a table without files."""
-    try:
-        return spark.read.option("mergeSchema", "true").parquet(path).schema
-    except AnalysisException as e:
-        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-            raise
+def further_columns(spark: SparkSession, lake: Lake, name: str) -> StructType:
+    """Columns that an open table was written with beyond the declared ones; no footer is read for it."""
+    if not K.exists(spark, lake.columns):
         return StructType([])
+    rows = spark.read.schema(COLUMNS).parquet(lake.columns).where(F.col("table_name") == name).distinct().collect()
+    kinds: dict[str, DataType] = {}
+    for row in sorted(rows):
+        kind = StructType.fromDDL(f"c {row.column_type}")["c"].dataType
+        kinds[row.column_name] = wider(kinds.get(row.column_name, kind), kind)
+    return StructType([StructField(column, kind, True) for column, kind in kinds.items()])
+
 
+def remember_columns(spark: SparkSession, lake: Lake, **written: DataFrame) -> None:
+    """Notes the further columns of open tables before rows with them are written.
 
-def _exists(spark: SparkSession, lake: Lake, path: str) -> bool:
-    """Whether the table's folder is there; any other trouble is an error."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+    A column whose type has changed since must be brought to one type by a full run.
+    """
+    new = []
+    for key, df in written.items():
+        name = f"silver/{key}"
+        declared, noted = table_schemas(spark)[name].names, further_columns(spark, lake, name)
+        for f in df.schema.fields:
+            if f.name in declared:
+                continue
+            if f.name in noted.names and noted[f.name].dataType != f.dataType:
+                before, now = noted[f.name].dataType.simpleString(), f.dataType.simpleString()
+                raise ValueError(f"{f.name} was written as {before} and is {now} now: run all months in mode 'full'")
+            if f.name not in noted.names:
+                new.append((name, f.name, f.dataType.simpleString()))
+    if new:
+        spark.createDataFrame(new, COLUMNS).coalesce(1).write.mode("append").parquet(lake.columns)
 
 
 def with_pickup_partition(trips: DataFrame) -> DataFrame:
@@ -146,21 +196,37 @@ def with_pickup_partition(trips: DataFrame) -> DataFrame:
 
 
 def coverage_of(tagged: DataFrame) -> DataFrame:
-    """Accepted rows by source month and pickup month."""
+    """Accepted rows by source month and pickup month, and when the source was ingested."""
     return (
         with_pickup_partition(accepted(tagged))
         .groupBy("source_month", "pickup_year_month")
-        .agg(F.count(F.lit(1)).alias("row_count"))
+        .agg(F.count(F.lit(1)).alias("row_count"), F.max("ingested_at").alias("ingested_at"))
     )
 
 
+def restamped(bronze: DataFrame, times: dict) -> DataFrame:
+    """Rows of months that were ingested by earlier runs keep their ingest time."""
+    if not times:
+        return bronze
+    known = F.create_map(*[part for month, at in sorted(times.items()) for part in (F.lit(month), F.lit(at).cast("timestamp_ntz"))])
+    return bronze.withColumn("ingested_at", F.coalesce(F.try_element_at(known, F.col("source_month")), "ingested_at"))
+
+
 def _silver(accepted_rows: DataFrame, zones: DataFrame) -> DataFrame:
     return with_pickup_partition(enrich_trips(derive_trips(dedup_trips(accepted_rows)), zones))
 
 
+#: Silver's files cover narrow ranges of the first of these, or in z-order of both.
+LAYOUT = ["pickup_datetime", "pickup_borough"]
+
+
 def _write_silver(silver: DataFrame, lake: Lake, replace: str) -> None:
-    order = ["pickup_date", "pickup_datetime", "pickup_borough"]
-    K.write_partitions(silver, lake.silver, ["pickup_year_month"], order, replace, lake.fmt)
+    by = ["pickup_year_month"]
+    if lake.zorder:
+        laid_out = zordered_by_quantiles(silver, LAYOUT, lead=by)
+        K.write_partitions(laid_out, lake.silver, by, replace=replace, fmt=lake.fmt, gather=False)
+    else:
+        K.write_partitions(silver, lake.silver, by, ["pickup_date", *LAYOUT], replace, lake.fmt)
 
 
 def _log(spark: SparkSession, lake: Lake, month: str, mode: str, raw: int, kept: int, bad: int, run_ts: str) -> dict:
@@ -210,9 +276,12 @@ def run_silver(
 def _run_all(spark, lake, zones, target_month, mode, run_ts, year) -> dict:
     bronze = read_bronze(spark, lake.bronze, ALL_MONTHS, run_ts)
     tagged = tag_trips(bronze, year)
+    silver = _silver(_in_year(accepted(tagged), year), zones)
+    K.drop_table(spark, lake.columns)
+    remember_columns(spark, lake, trips=silver, rejected=rejected(tagged))
     K.write_partitions(rejected(tagged), lake.quarantine, ["source_month"], ["reject_reason"], "all", lake.fmt)
     K.write_partitions(coverage_of(tagged), lake.coverage, ["source_month"], [], "all", lake.fmt)
-    _write_silver(_silver(_in_year(accepted(tagged), year), zones), lake, "all")
+    _write_silver(silver, lake, "all")
     raw = bronze.count()
     kept = read(spark, lake, lake.silver).count()
     bad = read(spark, lake, lake.quarantine).count()
@@ -225,47 +294,59 @@ def _months(rows: DataFrame, column: str) -> set[str]:
 
 
 def _run_month(spark, lake, zones, month, mode, run_ts, year) -> dict:
-    """One month into the tables that are there.
+    touched = rebuild_months(spark, lake, zones, [month], run_ts, year)
+    of_month = F.col("source_month") == month
+    raw = read_bronze(spark, lake.bronze, month, run_ts).count()
+    bad = read(spark, lake, lake.quarantine).where(of_month).count()
+    kept = 0
+    if touched and K.exists(spark, lake.silver):
+        kept = read(spark, lake, lake.silver).where(of_month & F.col("pickup_year_month").isin(touched)).count()
+    return _log(spark, lake, month, mode, raw, kept, bad, run_ts)
+
+
+def rebuild_months(spark, lake: Lake, zones: DataFrame, months: list[str], run_ts: str, year: int = YEAR) -> list[str]:
+    """The Bronze months into the tables that are there; returns the Silver partitions rebuilt.
 
     Coverage is written last, and the partitions to rebuild are also asked of Silver
     itself: whichever write a run fails after, running it again finds all partitions
-    that the month touches or used to touch.
+    that the months touch or used to touch.
     """
-    bronze = read_bronze(spark, lake.bronze, month, run_ts)
+    bronze = read_bronze(spark, lake.bronze, months, run_ts)
     tagged = tag_trips(bronze, year)
-    of_month = F.col("source_month") == month
+    of_months = F.col("source_month").isin(months)
     before: set[str] = set()
     for path in (lake.coverage, lake.silver):
-        if _exists(spark, lake, path):
-            before |= _months(read(spark, lake, path).where(of_month), "pickup_year_month")
+        if K.exists(spark, path):
+            before |= _months(read(spark, lake, path).where(of_months), "pickup_year_month")
 
-    K.write_leaf(rejected(tagged), lake.quarantine, "source_month", month, lake.fmt)
+    remember_columns(spark, lake, rejected=rejected(tagged))
+    if len(months) == 1:
+        K.write_leaf(rejected(tagged), lake.quarantine, "source_month", months[0], lake.fmt)
+    else:
+        K.replace_partitions(K.gathered(rejected(tagged), "source_month"), lake.quarantine, "source_month", months, lake.fmt)
 
-    # one row a pickup month: bounded by the calendar
+    # one row a source and pickup month: bounded by the calendar
     own = coverage_of(tagged).collect()
     mine = spark.createDataFrame(own, table_schemas(spark)["silver/coverage"])
-    coverage = mine
-    if _exists(spark, lake, lake.coverage):
-        coverage = read(spark, lake, lake.coverage).where(~of_month).select(*mine.columns).union(mine)
+    coverage, times = mine, {}
+    if K.exists(spark, lake.coverage):
+        others = read(spark, lake, lake.coverage).where(~of_months).select(*mine.columns)
+        coverage = others.union(mine)
+        times = {r[0]: r[1] for r in others.groupBy("source_month").agg(F.max("ingested_at")).collect() if r[1]}
     touched = sorted(before | {r.pickup_year_month for r in own})
     holders = coverage.where(F.col("pickup_year_month").isin(touched))
     sources, filled = _months(holders, "source_month"), _months(holders, "pickup_year_month")
 
     if sources:
-        again = accepted(tag_trips(read_bronze(spark, lake.bronze, sorted(sources), run_ts), year))
-        again = with_pickup_partition(again).where(F.col("pickup_year_month").isin(touched))
+        again = restamped(read_bronze(spark, lake.bronze, sorted(sources), run_ts), times)
+        again = with_pickup_partition(accepted(tag_trips(again, year))).where(F.col("pickup_year_month").isin(touched))
         silver = _silver(_in_months(again, touched), zones)
+        remember_columns(spark, lake, trips=silver)
         _write_silver(silver, lake, "touched")
     for empty in sorted(set(touched) - filled):  # had rows before, has none now
         K.clear_leaf(spark, table_schemas(spark)["silver/trips"], lake.silver, "pickup_year_month", empty, lake.fmt)
-    K.write_leaf(mine.coalesce(1), lake.coverage, "source_month", month, lake.fmt)
-
-    raw = bronze.count()
-    bad = read(spark, lake, lake.quarantine).where(of_month).count()
-    kept = 0
-    if touched and _exists(spark, lake, lake.silver):
-        kept = read(spark, lake, lake.silver).where(of_month & F.col("pickup_year_month").isin(touched)).count()
-    return _log(spark, lake, month, mode, raw, kept, bad, run_ts)
+    K.replace_partitions(mine.coalesce(1), lake.coverage, "source_month", months, lake.fmt)
+    return touched
 
 
 def _in_months(trips: DataFrame, months: list[str]) -> DataFrame:
@@ -292,37 +373,56 @@ def build_gold(
     run_ts: str,
     as_of: str,
     year: int = YEAR,
-    holidays: list[str] = G.US_HOLIDAYS,
+    holidays: list[str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Dimensions, fact, then aggregates over the written fact; each a full replace.
+    """Dimensions, fact, and aggregates from the states of one scan of the fact; a full replace.
 
-    ``holidays`` lists dates of the year as text; a list without any is refused.
+    ``holidays`` lists dates of the year as text, and a list without any is refused;
+    without a list the federal rules hold.
     """
-    if not any(day.startswith(f"{year}-") for day in holidays):
+    K.drop_table(spark, lake.gold("built"))
+    update_gold(spark, lake, run_ts, as_of, year, holidays)
+    return gold_tables(spark, lake)
+
+
+def update_gold(
+    spark: SparkSession,
+    lake: Lake,
+    run_ts: str,
+    as_of: str,
+    year: int = YEAR,
+    holidays: list[str] | None = None,
+) -> list[str]:
+    """Gold brought up to Silver: all of it at first, then the partitions that changed months reach.
+
+    Returns the changed pickup months. The dimensions are small and written each time.
+    """
+    if holidays is not None and not any(day.startswith(f"{year}-") for day in holidays):
         raise ValueError(f"no holidays are given for {year}")
     pin_session(spark)
-    staging = G.staging_trips(read(spark, lake, lake.silver))
-    K.publish_view(staging, "stg_silver_trips")
+    silver = read(spark, lake, lake.silver)
+    K.publish_view(G.staging_trips(silver), "stg_silver_trips")
 
     spine = date_spine(spark, f"{year}-01-01", f"{year}-12-31")
     K.write_table(G.dim_date(spine, as_of, holidays), lake.gold("dim_date"), lake.fmt)
     K.write_table(G.dim_zone(read(spark, lake, lake.zones)), lake.gold("dim_zone"), lake.fmt)
+    return increment.update_tables(spark, lake, lambda path: read(spark, lake, path), silver, run_ts)
 
-    facts = G.fact_trips(staging, run_ts)
-    # Silver files already hold one pickup month each, sorted by time: no shuffle
-    K.write_partitions(
-        facts, lake.gold("fact_trips"), ["pickup_year_month"], replace="all", fmt=lake.fmt, gather=False
-    )
-    fact = read(spark, lake, lake.gold("fact_trips"))
-    for name, build in AGGREGATES.items():
-        K.write_table(build(fact, run_ts), lake.gold(name), lake.fmt)
-    return {name: read(spark, lake, lake.gold(name)) for name in GOLD_TABLES}
+
+def gold_table(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
+    """A Gold table with its own columns only."""
+    table = read(spark, lake, lake.gold(name))
+    return table.drop(increment.PART) if name in BY_PICKUP_MONTH else table
+
+
+def gold_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+    return {name: gold_table(spark, lake, name) for name in GOLD_TABLES}
 
 
 def check_run(spark: SparkSession, lake: Lake, gate: bool = True) -> DataFrame:
     """The report over Silver and Gold; with ``gate`` a failing check stops the run."""
     pin_session(spark)
-    tables = {name: read(spark, lake, lake.gold(name)) for name in GOLD_TABLES}
+    tables = gold_tables(spark, lake)
     tables["silver_trips"] = read(spark, lake, lake.silver)
     report = run_checks(tables, silver_checks() + gold_checks())
     if gate:
@@ -342,6 +442,6 @@ def run_pipeline(
 ) -> dict:
     """Silver, Gold and the checks, in that order."""
     record = run_silver(spark, lake, target_month, mode, run_ts, year)
-    build_gold(spark, lake, run_ts, as_of, year)
+    update_gold(spark, lake, run_ts, as_of, year)
     check_run(spark, lake, gate)
     return record

@@ -9,6 +9,8 @@ from tripmill.functions import scalars as S
 from tripmill.operators.dedup import keep_first
 from tripmill.operators.enrich import enrich_role
 from tripmill.operators.rules import Rule, accepted, tag_rejects
+from tripmill.operators.schema import RESCUE
+from tripmill.sources.schemas import BRONZE_TRIPS
 
 # Reject reasons and payment names, as stored in the tables.
 BAD_PICKUP_YEAR = "date_infiltration: pickup year != {year}"
@@ -18,6 +20,7 @@ BAD_DISTANCE = "invalid_distance: negative"
 BAD_FARE = "invalid_fare: negative"
 BAD_PASSENGERS = "invalid_passengers: null or zero"
 NO_LOCATION = "missing_location_id"
+UNREADABLE = "unreadable_value: does not fit the declared type"
 PAYMENT_NAMES = {1: "credit_card", 2: "cash", 3: "no_charge", 4: "dispute"}
 UNKNOWN_PAYMENT = "unknown"
 
@@ -63,9 +66,17 @@ def business_rules() -> list[Rule]:
     ]
 
 
+def rescue_rules(bronze: DataFrame) -> list[Rule]:
+    """A declared column whose value did not fit its type is no missing value: it has a reason of its own."""
+    if RESCUE not in bronze.columns:
+        return []
+    lost = F.json_object_keys(F.col(RESCUE))
+    return [Rule(UNREADABLE, F.arrays_overlap(lost, F.array(*[F.lit(c) for c in BRONZE_TRIPS.names])))]
+
+
 def tag_trips(bronze: DataFrame, year: int = YEAR) -> DataFrame:
-    """Date rules before business rules, one reason per row."""
-    return tag_rejects(parse_times(bronze), date_rules(year) + business_rules())
+    """Unreadable values first, then date rules before business rules; one reason per row."""
+    return tag_rejects(parse_times(bronze), rescue_rules(bronze) + date_rules(year) + business_rules())
 
 
 def dedup_trips(trips: DataFrame) -> DataFrame:

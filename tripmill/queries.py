@@ -101,7 +101,7 @@ def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calendar over the days the orders span, moved like the trips."""
     spine = date_spine_of(star.table(spark, sf_dir, "orders"), star.moved("o_orderdate").cast("date"))
-    return G.dim_date(spine, AS_OF)
+    return G.dim_date(spine, AS_OF, G.US_HOLIDAYS)
 
 
 @view

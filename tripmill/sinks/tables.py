@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tripmill.session import fresh_folder
 from tripmill.sinks.layout import balanced
 
 FORMAT = "parquet"
@@ -59,6 +60,50 @@ def write_partitions(
     laid_out.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*by).save(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the table's folder is there; any other trouble is an error."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Removes a table's folder, where there is one."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def gathered(df: DataFrame, column: str) -> DataFrame:
+    """Rows of a small table brought together by partition, so that each has few files."""
+    return balanced(df, [column])
+
+
+def set_aside(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """The rows written to a new folder and read back: what a table that is overwritten is computed from."""
+    path = fresh_folder(spark, "aside")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def replace_partitions(df: DataFrame, path: str, column: str, parts: Sequence[str], fmt: str = FORMAT) -> None:
+    """Replaces the named partitions by the rows of ``df``, also by nothing at all.
+
+    A dynamic overwrite leaves a partition without new rows as it was: those whose files
+    still have their old names afterwards are emptied.
+    """
+    spark = df.sparkSession
+
+    def files() -> set[str]:
+        table = spark.read.format(fmt).schema(df.schema).load(path)
+        return set(table.where(F.col(column).isin(list(parts))).select(column).inputFiles())
+
+    before = files() if exists(spark, path) else set()
+    write_partitions(df, path, [column], replace="touched", fmt=fmt, gather=False)
+    left = before & files() if before else before
+    for part in parts:
+        if any(f"/{column}={part}/" in name for name in left):
+            clear_leaf(spark, df.schema, path, column, part, fmt)
+
+
 def write_leaf(df: DataFrame, path: str, column: str, value: str, fmt: str = FORMAT) -> None:
     """Replace one partition folder, also by nothing at all.
 

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tripmill.operators.schema import align_schema
+from tripmill.operators.schema import RESCUE, align_schema
+from tripmill.sources.inventory import schema_groups, widened
 from tripmill.sources.schemas import BRONZE_TRIPS, ZONE_LOOKUP
 
 # How monthly files are named, and where the month stands in a path.
@@ -57,20 +58,14 @@ def with_lineage(df: DataFrame, run_ts: str) -> DataFrame:
     )
 
 
-def _file_schemas(spark: SparkSession, paths: list[str]) -> list[tuple[StructType, list[str]]]:
-    """Month paths by the schema in their footers: one footer a month is read."""
-    context = spark.sparkContext
-    found: dict[str, tuple[StructType, list[str]]] = {}
-    for pattern in paths:
+def found_paths(spark: SparkSession, patterns: list[str]) -> list[str]:
+    """The months that the patterns match; a pattern without any stays, and gives the usual error on reading."""
+    context, paths = spark.sparkContext, []
+    for pattern in patterns:
         glob = context._jvm.org.apache.hadoop.fs.Path(pattern)
         matches = glob.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(glob)
-        months = sorted(m.getPath().toString() for m in matches or [])
-        if not months:  # a plain read gives the usual error
-            return [(spark.read.parquet(pattern).schema, [pattern])]
-        for month in months:
-            schema = spark.read.parquet(month).schema
-            found.setdefault(schema.json(), (schema, []))[1].append(month)
-    return list(found.values())
+        paths += sorted(m.getPath().toString() for m in matches or []) or [pattern]
+    return paths
 
 
 def read_bronze(
@@ -82,22 +77,28 @@ def read_bronze(
 ) -> DataFrame:
     """Monthly trip files with lineage.
 
-    Columns of ``schema`` come first and with its types; columns that only the files
-    have are kept behind them. Types may drift from month to month: months are read by
-    schema, each fitted to the declared one, and brought together by name. ``None``
-    stands for the declared schema as well.
+    Columns of ``schema`` come first and with its types; columns that only some files
+    have, also within a month, are kept behind them, in a type that holds the values of
+    all files. Files are read by kind of schema, each kind fitted to the whole, and
+    brought together by name. A value that does not fit is kept as text in
+    ``rescued_values``. ``None`` stands for the declared schema as well.
     """
     target = schema or BRONZE_TRIPS
+    groups = schema_groups(spark, found_paths(spark, month_paths(root, months)))
+    wide = widened(groups)
+    more = [f for f in wide.fields if f.name not in target.names]
+    whole_schema = StructType([*target.fields, *more])
     frames = []
-    for found, paths in _file_schemas(spark, month_paths(root, months)):
-        raw = with_lineage(spark.read.schema(found).parquet(*paths).drop("trip_file"), run_ts)
-        frames.append(align_schema(raw, target))
+    for found, paths in groups:
+        reader = spark.read.schema(found).option("recursiveFileLookup", "true")
+        raw = with_lineage(reader.parquet(*paths), run_ts)
+        frames.append(align_schema(raw, whole_schema, rescue=RESCUE))
     whole = frames[0]
     for frame in frames[1:]:
         whole = whole.unionByName(frame, allowMissingColumns=True)
     lineage = ["source_file", "source_month", "ingested_at"]
-    extra = [c for c in whole.columns if c not in target.names and c not in lineage]
-    return whole.select(*target.names, *extra, *lineage)
+    rescued = [RESCUE] if RESCUE in whole.columns else []
+    return whole.select(*whole_schema.names, *rescued, *lineage)
 
 
 def read_lookup(spark: SparkSession, path: str) -> DataFrame:
