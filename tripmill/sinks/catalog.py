@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DecimalType, FractionalType, StructType
 
 from tripmill.sinks import tables as K
 
@@ -70,9 +70,14 @@ def bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path:
     Rows with equal keys are in one bucket, so grouping, deduplicating or joining on the
     keys needs no exchange. Choose buckets such that one fits a task's memory; the
     table's buckets must match those of the tables that it is to be joined with.
+    Floating-point keys take no part in the choice of a bucket: Spark groups them by a
+    normalized form that it does not recognize in a table's buckets.
     """
-    laid_out = df.repartition(buckets, *[F.col(k) for k in keys])
-    writer = laid_out.write.format(K.FORMAT).mode("overwrite").option("path", path).bucketBy(buckets, keys[0], *keys[1:])
+    own = [k for k in keys if not isinstance(df.schema[k].dataType, FractionalType) or isinstance(df.schema[k].dataType, DecimalType)]
+    if not own:
+        raise ValueError("a key that is no floating-point number is needed")
+    laid_out = df.repartition(buckets, *[F.col(k) for k in own])
+    writer = laid_out.write.format(K.FORMAT).mode("overwrite").option("path", path).bucketBy(buckets, own[0], *own[1:])
     writer.sortBy(*(order or keys)).saveAsTable(name)
     return df.sparkSession.table(name)
 
