@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tripmill.operators.checks import QualityGateError
 from tripmill.operators.schema import align_schema, require_columns
 from tripmill.plans import pipeline as P
+from tripmill.plans.gold import US_HOLIDAYS
 from tripmill.session import shared_folder
 from tripmill.sinks import landing as L
 from tripmill.sinks import layout as Y
@@ -334,4 +335,4 @@ def test_the_survivor_of_a_tie_is_the_same_after_another_landing(spark, lake, br
 
 def test_gold_refuses_a_year_without_holidays(spark, lake):
     with pytest.raises(ValueError, match="2025"):
-        P.build_gold(spark, lake, TS, "2025-01-01", 2025)
+        P.build_gold(spark, lake, TS, "2025-01-01", 2025, US_HOLIDAYS)

@@ -20,7 +20,7 @@ def plan(df) -> str:
 
 
 # these run jobs while they are built
-EAGER = re.compile("medallion|layout|stream|dq_|fk_")
+EAGER = re.compile("medallion|layout|stream|dq_|fk_|gold_|drifted|zorder|bucketed|star_join_quarter|catalog|gate")
 
 
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if not EAGER.match(n)))

@@ -33,6 +33,7 @@ from tripmill.queries import (
     _staging,
     _zones,
     query,
+    view,
 )
 from tripmill.session import fresh_folder
 from tripmill.sinks import catalog
@@ -83,10 +84,12 @@ def weekend_hours_from_states(spark, sf_dir):
 CHANGED = "2024-03"
 
 
+@view
 def _changed_lake(spark: SparkSession, sf_dir: str) -> tuple[P.Lake, dict[str, set[str]]]:
     """A lake whose March was incomplete in a full build, then corrected and run incrementally.
 
-    Also the files of each Gold table before the second build.
+    Also the files of each Gold table before the second build. Built once a session and
+    folder: three queries look at it.
     """
     lake = P.Lake(fresh_folder(spark, "lake"))
     trips = star.bridge_trips(spark, sf_dir)
@@ -140,6 +143,7 @@ def gold_incremental_parts(spark, sf_dir):
 DRIFTED = "2024-05"
 
 
+@view
 def _drifted_lake(spark: SparkSession, sf_dir: str) -> P.Lake:
     """May comes in files that differ: one as declared, one with passengers as text and a
     column of its own, one with distances as text, some of which are no numbers."""
