@@ -45,11 +45,11 @@ SCOPE = set("ul ol dl table select article section div main body".split())
 NEVER = RAW | set("head nav aside footer form button select option input dialog menu svg math canvas object audio video map".split())
 ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 ASIDE = set(
-    """ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs byline comment comments
+    """ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments
     consent cookie cookies copyright disclaimer discussion disqus footer gdpr legal login masthead menu modal nav navbar
     navigation newsletter notice notices notification pager pagination popup popover promo promotion promoted recommended
     related replies reply respond responses rail search share sharing sidebar sidebars signup skip social sponsor sponsored
-    subscribe subscription tags teaser toolbar topbar widget widgets""".split()
+    subscribe subscription teaser toolbar topbar widget widgets""".split()
 )
 ARTICLE = set("article post entry story content".split())  # an article's own header is no page header
 LAYOUT = set("has with no without".split())  # as in "with-sidebar": what is around, not what it is
