@@ -194,7 +194,10 @@ def parse(page: str) -> tuple[list[Block], list[Element]]:
         given = _attributes(tag.group(3)) if tag.group(3).strip(" /") else {}
         top = stack[-1]
         marks = f"{given.get('class', '')} {given.get('id', '')}"
-        label = name + re.sub(r"\d+", "#", "".join(f".{c}" for c in sorted(marks.split()))) if marks != " " else name
+        label = name
+        if marks != " ":  # ids count pages, and so do long numbers in classes
+            label += "".join("." + re.sub(r"\d{3,}", "#", c) for c in sorted(given.get("class", "").split()))
+            label += "#" + re.sub(r"\d+", "#", given.get("id", ""))
         role = given.get("role", "").lower()
         main = "article" if given.get("itemprop") == "articleBody" else "main" if role == "main" else role if role == "article" else name
         element = Element(name, _hash(top.token, label), top, top.out, top.link or name == "a")
