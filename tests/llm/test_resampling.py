@@ -43,11 +43,11 @@ def plain(docs, target, p=Resampling()):
     able = sorted((r for r in rows if r[4] >= p.least_words), key=lambda r: (-r[3], r[0] is not None, r[0] or 0, r[1]))
     drawn = len(able) * p.percent // 100
     ranks = {id(r): k + 1 for k, r in enumerate(able[:drawn])}
-    return sorted((str(r[0]), r[1], r[2], r[3], ranks.get(id(r))) for r in rows)
+    return sorted(((str(r[0]), r[1], r[2], r[3], ranks.get(id(r))) for r in rows), key=str)
 
 
 def got(df):
-    return sorted((str(r.doc_id), r.n_features, r.weight, r.score, r["rank"]) for r in df.collect())
+    return sorted(((str(r.doc_id), r.n_features, r.weight, r.score, r["rank"]) for r in df.collect()), key=str)
 
 
 def targets(spark, texts):
