@@ -127,7 +127,7 @@ def test_small_sets_against_every_packing():
         bins.best_fit()
         bins.improve(60)
         lost += sum(bool(x) for x in bins.items) - least_bins(sizes, 100)
-    assert lost <= 1
+    assert lost <= 2  # what the bounded search costs here, as the README says
 
 
 def test_a_very_long_text_is_cut_whole(spark):
