@@ -315,3 +315,27 @@ def test_catalog_tables_prune_by_the_metastore(spark, lake_root, bronze, zones):
     K.drop_table(spark, f"{lake.gold('fact_trips')}/pickup_year_month=2024-02")
     P.read(spark, lake, lake.gold("fact_trips"))
     assert spark.table(lake.named("gold/fact_trips")).count() == 2
+
+# --- one pass over the tables, whole results ----------------------------------
+
+
+def test_quarantine_is_written_without_a_shuffle(spark, lake, bronze, monkeypatch):
+    """Bronze files hold a month each, so rejected rows go where they belong from the scan."""
+    plans = []
+    real = K.write_partitions
+
+    def spied(df, path, by, *args, **kwargs):
+        if path == lake.quarantine:
+            gather = kwargs.get("gather", True)
+            plans.append((gather, plan(df)))
+        return real(df, path, by, *args, **kwargs)
+
+    monkeypatch.setattr(K, "write_partitions", spied)
+    monkeypatch.setattr(P.K, "write_partitions", spied)
+    for month in (1, 2):
+        L.land_month(bronze(at(month, 5, fare=-1.0), at(month, 6)), lake.bronze, "2024", f"{month:02d}")
+    P.run_silver(spark, lake, mode="full", run_ts=TS)
+    P.rebuild_months(spark, lake, P.read(spark, lake, lake.zones), ["2024-01", "2024-02"], TS)
+    assert len(plans) == 2 and not any(gather or "Exchange" in text for gather, text in plans)
+    bad = P.read(spark, lake, lake.quarantine)
+    assert sorted(r.source_month for r in bad.collect()) == ["2024-01", "2024-02"]

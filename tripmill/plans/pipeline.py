@@ -279,7 +279,8 @@ def _run_all(spark, lake, zones, target_month, mode, run_ts, year) -> dict:
     silver = _silver(_in_year(accepted(tagged), year), zones)
     K.drop_table(spark, lake.columns)
     remember_columns(spark, lake, trips=silver, rejected=rejected(tagged))
-    K.write_partitions(rejected(tagged), lake.quarantine, ["source_month"], ["reject_reason"], "all", lake.fmt)
+    # Bronze files already hold one source month each: no shuffle
+    K.write_partitions(rejected(tagged), lake.quarantine, ["source_month"], replace="all", fmt=lake.fmt, gather=False)
     K.write_partitions(coverage_of(tagged), lake.coverage, ["source_month"], [], "all", lake.fmt)
     _write_silver(silver, lake, "all")
     raw = bronze.count()
@@ -323,7 +324,7 @@ def rebuild_months(spark, lake: Lake, zones: DataFrame, months: list[str], run_t
     if len(months) == 1:
         K.write_leaf(rejected(tagged), lake.quarantine, "source_month", months[0], lake.fmt)
     else:
-        K.replace_partitions(K.gathered(rejected(tagged), "source_month"), lake.quarantine, "source_month", months, lake.fmt)
+        K.replace_partitions(rejected(tagged), lake.quarantine, "source_month", months, lake.fmt)
 
     # one row a source and pickup month: bounded by the calendar
     own = coverage_of(tagged).collect()
