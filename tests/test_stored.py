@@ -319,6 +319,39 @@ def test_catalog_tables_prune_by_the_metastore(spark, lake_root, bronze, zones):
 # --- one pass over the tables, whole results ----------------------------------
 
 
+@pytest.fixture
+def submitted(spark, monkeypatch, bronze):
+    """Stands in for the trips of the given tables; its list grows by one a query and row read."""
+    trips = bronze(
+        *[at(month, day, RatecodeID=day, VendorID=1 + day % 2, payment_type=1) for month in (3, 4, 5) for day in range(1, 9)]
+    )
+    trips = trips.withColumn("source_month", F.date_format("tpep_pickup_datetime", "yyyy-MM"))
+    read = spark.sparkContext.accumulator(0)
+
+    def see(month):
+        read.add(1)
+        return month
+
+    seen = F.udf(see, "string").asNondeterministic()
+    monkeypatch.setattr(Q.star, "bridge_trips", lambda *_: trips.withColumn("source_month", seen("source_month")))
+    return read
+
+
+def test_a_corrected_month_takes_one_pass_over_the_tables(spark, sf_dir, submitted):
+    """The corrected month is cut from what was landed, and comes back whole."""
+    assert Q.gold_incremental_hourly(spark, sf_dir).count() == 24
+    assert submitted.value == 24
+
+
+def test_a_month_is_taken_out_whole(spark, lake, bronze):
+    trips = bronze(at(1, 5), at(1, 6), at(2, 3))
+    L.land_months(trips.withColumn("source_month", F.date_format("tpep_pickup_datetime", "yyyy-MM")), lake.bronze)
+    january = L.take_month(spark, lake.bronze, "2024-01", trips.schema)
+    assert january.count() == 2 and january.schema == trips.schema
+    assert {r.source_month for r in read_bronze(spark, lake.bronze, "all", TS).collect()} == {"2024-02"}
+    assert L.take_month(spark, lake.bronze, "2024-07", trips.schema).count() == 0
+
+
 def test_quarantine_is_written_without_a_shuffle(spark, lake, bronze, monkeypatch):
     """Bronze files hold a month each, so rejected rows go where they belong from the scan."""
     plans = []

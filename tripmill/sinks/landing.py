@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tripmill.operators.schema import require_columns
 from tripmill.sinks.layout import balanced
-from tripmill.sinks.tables import append_record
+from tripmill.sinks.tables import append_record, drop_table, set_aside
 from tripmill.sources.bronze import TRIP_FILE, month_paths, trip_file
 from tripmill.sources.schemas import BRONZE_TRIPS, INGEST_LOG
 
@@ -32,12 +33,14 @@ def land_month(df: DataFrame, root: str, year: str, month: str) -> int:
 def land_months(df: DataFrame, root: str, month_column: str = "source_month") -> None:
     """Lands every month of a frame in one job, replacing the months it holds.
 
-    Columns that nobody declared land as well; only the month column becomes the name.
+    Columns that nobody declared land as well; only the month column becomes the name,
+    after the shuffle, which carries the shorter of the two.
     """
     head, tail = TRIP_FILE.split("{month}")
-    named = df.withColumn("trip_file", F.concat(F.lit(head), F.col(month_column), F.lit(tail)))
+    months = balanced(require_columns(df, BRONZE_TRIPS), [month_column])
+    named = months.withColumn("trip_file", F.concat(F.lit(head), F.col(month_column), F.lit(tail)))
     (
-        balanced(require_columns(named, BRONZE_TRIPS).drop(month_column), ["trip_file"])
+        named.drop(month_column)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("trip_file")
@@ -45,6 +48,15 @@ def land_months(df: DataFrame, root: str, month_column: str = "source_month") ->
     )
 
 
+def take_month(spark: SparkSession, root: str, month: str, schema: StructType) -> DataFrame:
+    """Takes a landed month out of Bronze; returns its rows, kept in a folder of their own."""
+    name = trip_file(month)
+    landed = spark.read.schema(StructType([*schema.fields, StructField("trip_file", StringType())])).parquet(root)
+    rows = set_aside(spark, landed.where(F.col("trip_file") == name).drop("trip_file"))
+    drop_table(spark, f"{root}/trip_file={name}")
+    return rows
+
+
 def land_lookup(zones: DataFrame, path: str) -> None:
     """Copies the lookup once; an existing copy is left alone."""
     zones.write.mode("ignore").csv(path, header=True)
