@@ -343,6 +343,15 @@ def test_a_corrected_month_takes_one_pass_over_the_tables(spark, sf_dir, submitt
     assert submitted.value == 24
 
 
+def test_a_drifted_month_takes_one_pass_over_the_tables(spark, sf_dir, submitted):
+    """Each query builds its own lake and reads every row of the tables once, whatever ran before."""
+    found = {r.source_month: r.row_count for r in Q.drifted_month(spark, sf_dir).collect()}
+    assert found == {"2024-03": 8, "2024-04": 8, "2024-05": 8}
+    assert submitted.value == 24
+    assert [(r.column_name, r.value_count) for r in Q.drifted_values(spark, sf_dir).collect()] == [("trip_distance", 3)]
+    assert submitted.value == 2 * 24
+
+
 def test_a_month_is_taken_out_whole(spark, lake, bronze):
     trips = bronze(at(1, 5), at(1, 6), at(2, 3))
     L.land_months(trips.withColumn("source_month", F.date_format("tpep_pickup_datetime", "yyyy-MM")), lake.bronze)
