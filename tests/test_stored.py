@@ -381,3 +381,25 @@ def test_quarantine_is_written_without_a_shuffle(spark, lake, bronze, monkeypatc
     assert len(plans) == 2 and not any(gather or "Exchange" in text for gather, text in plans)
     bad = P.read(spark, lake, lake.quarantine)
     assert sorted(r.source_month for r in bad.collect()) == ["2024-01", "2024-02"]
+
+
+def test_the_streamed_lines_grow_in_files_not_in_size(spark, sf_dir, tmp_path, monkeypatch):
+    """Lines of several files stream in two batches, and no file takes the rows of many tasks."""
+    table = Q.star.table(spark, sf_dir, "lineitem")
+    wide = str(tmp_path / "lineitem")
+    table.repartition(6).write.parquet(wide)
+    many = spark.read.schema(table.schema).option("maxPartitionBytes", 1).parquet(wide)
+    real, taken = Q.star.table, {}
+    monkeypatch.setattr(Q.star, "table", lambda s, d, name: many if name == "lineitem" else real(s, d, name))
+    stream_of = Q.stream.stream_files
+
+    def spied(session, path, schema, files_per_batch=None):
+        files = session.read.schema(schema).parquet(path).inputFiles()
+        taken.update(files=len(files), batch=files_per_batch)
+        return stream_of(session, path, schema, files_per_batch)
+
+    monkeypatch.setattr(Q.stream, "stream_files", spied)
+    found = rows(Q.stream_into_silver(spark, sf_dir))
+    monkeypatch.setattr(Q.star, "table", real)
+    assert taken["files"] > 2 and taken["batch"] == (taken["files"] + 1) // 2
+    assert found == rows(Q.stream_into_silver(spark, sf_dir))
