@@ -15,6 +15,7 @@ from tripmill import stored_queries as Q
 from tripmill.functions import sketches as H
 from tripmill.functions.holidays import is_holiday
 from tripmill.functions.states import STATE_GRAIN, merged, state_measures
+from tripmill.operators.checks import QualityGateError
 from tripmill.operators.schema import RESCUE, align_schema, rescued_counts
 from tripmill.plans import gold as G
 from tripmill.plans import increment
@@ -403,3 +404,17 @@ def test_the_streamed_lines_grow_in_files_not_in_size(spark, sf_dir, tmp_path, m
     monkeypatch.setattr(Q.star, "table", real)
     assert taken["files"] > 2 and taken["batch"] == (taken["files"] + 1) // 2
     assert found == rows(Q.stream_into_silver(spark, sf_dir))
+
+
+def test_the_gate_runs_the_checks_once(spark, lake, bronze, monkeypatch):
+    """The error that stops a run carries the report it was stopped over."""
+    runs, real = [], P.run_checks
+    monkeypatch.setattr(P, "run_checks", lambda *args: runs.append(1) or real(*args))
+    L.land_month(bronze(at(1, 5, DOLocationID=99)), lake.bronze, "2024", "01")
+    P.run_silver(spark, lake, mode="full", run_ts=TS)
+    P.update_gold(spark, lake, TS, DAY)
+    with pytest.raises(QualityGateError) as stopped:
+        P.check_run(spark, lake, gate=True)
+    report = stopped.value.report
+    assert len(runs) == 1 and "Exchange" not in plan(report)
+    assert rows(report) == rows(P.check_run(spark, lake, gate=False))

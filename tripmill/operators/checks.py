@@ -14,7 +14,11 @@ from tripmill.functions.metrics import count_where
 
 
 class QualityGateError(RuntimeError):
-    """Raised when a check finds failing rows."""
+    """Raised when a check finds failing rows; carries the report."""
+
+    def __init__(self, message: str, report: DataFrame | None = None):
+        super().__init__(message)
+        self.report = report
 
 
 @dataclass(frozen=True)
@@ -154,5 +158,5 @@ def enforce(report: DataFrame) -> None:
     broken = report.where(F.col("failures") > 0).collect()
     if broken:
         raise QualityGateError(
-            "; ".join(f"{r['check']} on {r['table']}.{r['column']}: {r['failures']}" for r in broken)
+            "; ".join(f"{r['check']} on {r['table']}.{r['column']}: {r['failures']}" for r in broken), report
         )

@@ -427,6 +427,8 @@ def check_run(spark: SparkSession, lake: Lake, gate: bool = True) -> DataFrame:
     tables["silver_trips"] = read(spark, lake, lake.silver)
     report = run_checks(tables, silver_checks() + gold_checks())
     if gate:
+        # one row a declared check: the gate and whoever looks at the report see one run of the checks
+        report = spark.createDataFrame(report.collect(), report.schema)
         enforce(report)
     return report
 
