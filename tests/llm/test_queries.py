@@ -22,6 +22,10 @@ def test_every_row_of_the_table_is_answered(spark, sf_dir, name):
         assert got.count() == table(spark, sf_dir, "pages").count() + table(spark, sf_dir, "documents").count()
     elif name == "op8_embedding_near_dups":
         assert got.count() == table(spark, sf_dir, "embeddings").count()
+    elif name == "op12_embedding_whitening":
+        assert got.select("vec_id").distinct().count() == table(spark, sf_dir, "embeddings").count()
+    elif name == "op13_html_extraction":
+        assert got.count() == table(spark, sf_dir, "pages").count()
     elif name == "op7_best_fit_packing":
         assert got.select("doc_id").distinct().count() == table(spark, sf_dir, "documents").count()
     else:

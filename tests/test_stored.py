@@ -317,6 +317,7 @@ def test_catalog_tables_prune_by_the_metastore(spark, lake_root, bronze, zones):
     P.read(spark, lake, lake.gold("fact_trips"))
     assert spark.table(lake.named("gold/fact_trips")).count() == 2
 
+
 # --- one pass over the tables, whole results ----------------------------------
 
 
